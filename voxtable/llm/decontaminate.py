@@ -35,10 +35,8 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int,
     )
 
 
-def contaminated(
-    docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE
-) -> DataFrame:
-    """For each document the words inside any occurrence of an item's window, and the items that occur.
+def marked(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """doc (a struct of the columns in keep), n_words, n_hit and items of each document.
 
     1. Texts become rows of words, numbered and written once.
     2. Shingles of documents meet the shingles of windows in an equi-join; the hits are written.
@@ -52,10 +50,6 @@ def contaminated(
     The window side is broadcast only when counted to be small; otherwise both sides are shuffled, and
     adaptive execution splits a common shingle.  Rows are told apart by number: repeated rows and null ids
     keep their own results.
-
-    Result, a row for each document row: the columns in keep, n_words, n_hit, n_items, items (sorted
-    strings).  Null or wordless text: zeros.  A null item id is the item "null"; items with equal ids are
-    one item.  An item of no words has no window.  Empty tables give no rows or no hits.
     """
     texts = stage(rows_with_ids(docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), words_of(F.col(text_col)).alias("words")), "row").withColumn("n", F.size("words")))
     windows = stage(item_windows(benchmark, item_col, item_text_col, window, shingle))
@@ -103,14 +97,28 @@ def contaminated(
         )
     )
     return texts.select("row", "doc", "n").join(result, "row", "left").select(
-        "doc.*",
+        "doc",
         F.col("n").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"),
     )
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), **columns) -> DataFrame:
+    """For each document the words inside any occurrence of an item's window, and the items that occur.
+
+    Result, a row for each document row: the columns in keep, n_words, n_hit, n_items, items (sorted
+    strings).  Null or wordless text: zeros.  A null item id is the item "null"; items with equal ids are
+    one item.  An item of no words has no window.  Empty tables give no rows or no hits.  See marked().
+    """
+    return marked(docs, benchmark, keep, **columns).select("doc.*", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
+    """docs without the rows that hold any window of a benchmark item; all columns as they are."""
+    return marked(docs, benchmark, tuple(docs.columns), **columns).where("n_hit = 0").select("doc.*")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(

@@ -16,7 +16,7 @@ from .common import LOWER, UPPER, table
 FREQUENT, CLASSES, MEMBERS = 768, 32, 32
 SIZE = CLASSES * MEMBERS
 WIDTH, SIDE = 16, 2
-STEP, RATE = 4096, 0.1
+STEP, RATE = 2048, 0.1
 CHUNK = 512
 
 SHAPES = {

@@ -56,21 +56,14 @@ def linked_weak(rows: DataFrame, scope: int = SCOPE) -> DataFrame:
 
     rows: row, parts (array of start, end, part, weak kind or null).  Identifiers and endpoints complete a
     secret and a secret completes them.  The interval join is an equi-join on (row, cell): a part lies in
-    the cell of its start and is looked for in that cell and its two neighbours; a semi join, so that no
-    pairs are made.
+    all cells that it touches, and a candidate looks into those within the scope; it is a semi join, so that
+    no pairs are made.
     """
     part = rows.select("row", F.explode("parts").alias("p")).select("row", "p.*")
-    cell = F.expr(f"start div {scope}")
-    weak = part.where("kind is not null").withColumn("cell", cell)
-    near = part.select(
-        F.col("row").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"), F.col("part").alias("other"), F.explode(F.expr(f"array(start div {scope} - 1, start div {scope}, start div {scope} + 1)")).alias("c")
-    )
-    overlap = F.expr(f"row = r and cell = c and (part = 'secret') != (other = 'secret') and s - end <= {scope} and start - e <= {scope} and (e <= start or end <= s)")
-    return (
-        weak.join(near, overlap, "left_semi")
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("start", F.col("rank"), "end", "kind")).alias("weak"))
-    )
+    weak = part.where("kind is not null").withColumn("cell", F.explode(F.expr(f"sequence(greatest(start - {scope}, 0) div {scope}, (end + {scope}) div {scope})")))
+    near = part.select(F.col("row").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"), F.col("part").alias("other"), F.explode(F.expr(f"sequence(start div {scope}, end div {scope})")).alias("c"))
+    beside = F.expr(f"row = r and cell = c and (part = 'secret') != (other = 'secret') and s - end <= {scope} and start - e <= {scope} and (e <= start or end <= s)")
+    return weak.join(near, beside, "left_semi").groupBy("row").agg(F.collect_set(F.struct("start", "rank", "end", "kind")).alias("weak"))
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -87,7 +80,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.coalesce(F.col(text_col), F.lit(""))
     group2 = lambda hit: F.length(F.regexp_extract(hit, ASSIGN, 2)) >= ASSIGN_MIN
     weak_text = [(kind, part, spans_of(F.col("vx_text"), pattern, kind, len(BASE) + i)) for i, (kind, part, pattern) in enumerate(WEAK)]
-    rows = docs.select(F.col(id_col).alias("id"), *[F.col(c).alias(f"keep_{c}") for c in keep], text.alias("vx_text"))
+    rows = docs.select(F.col(id_col).alias("vx_id"), *[F.col(c).alias(f"keep_{c}") for c in keep], text.alias("vx_text"))
     base = rows.select(
         "*",
         spans_of(F.col("vx_text"), ASSIGN, "assign", 0, group2).alias("assign"),
@@ -109,11 +102,11 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     done = stage(
         rows_with_ids(base.withColumn("parts", found), "row")
         .withColumn("parts", F.when(both, F.col("parts")))
-        .select("row", "id", *[f"keep_{c}" for c in keep], "assign", "access", "hex", "parts")
+        .select("row", "vx_id", *[f"keep_{c}" for c in keep], "assign", "access", "hex", "parts")
     )
     weak = stage(linked_weak(done.where("parts is not null").select("row", "parts"), scope))
     return done.drop("parts").join(weak, "row", "left").select(
-        F.col("id").alias(id_col), *[F.col(f"keep_{c}").alias(c) for c in keep], "assign", "access", "hex", F.coalesce("weak", F.expr(f"cast(array() as array<{SPAN}>)")).alias("weak")
+        F.col("vx_id").alias(id_col), *[F.col(f"keep_{c}").alias(c) for c in keep], "assign", "access", "hex", F.coalesce("weak", F.expr(f"cast(array() as array<{SPAN}>)")).alias("weak")
     )
 
 
@@ -128,6 +121,18 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     return F.when(F.size(spans) > 0, cut).otherwise(text)
 
 
+def without_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """docs with every span, base and linked, replaced by a mark in text_col; length_col, if there, follows.
+
+    Texts without secrets, and null, stay as they are.
+    """
+    spans = secret_spans(docs, id_col, text_col, keep=tuple(c for c in docs.columns if c != id_col))
+    found = F.concat("assign", "access", "hex", "weak")
+    text = redacted(F.col(text_col), found)
+    changed = {text_col: text} | ({length_col: F.when(F.size(found) > 0, F.length(text)).otherwise(F.col(length_col)).cast(docs.schema[length_col].dataType)} if length_col in docs.columns else {})
+    return spans.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
+
+
 def op6_secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.concat("assign", "access", "hex")
     return secret_spans(table(spark, sf_dir, "documents")).select(
