@@ -54,9 +54,10 @@ FROM docs LEFT JOIN n USING (r) LEFT JOIN every USING (r)"""
 _FAILS = {
     "mean_word_length": "NOT chars / greatest(1, n) BETWEEN 2 AND 18",
     "symbols": "sym > 0.3::DOUBLE * greatest(1, n)",
-    "duplicate_lines": r"dup > 0.3::DOUBLE * (len(string_split(t, chr(10))))",
+    "duplicate_lines": r"dup > 0.5::DOUBLE * (len(string_split(t, chr(10))))",
     "marked_words": r"len(list_filter(w, lambda x: regexp_matches(x, '[#*$%&|!~^=]$'))) / greatest(1, n) > 0.5",
-    "letters": r"length(regexp_replace(t, '\P{L}', '', 'g')) / greatest(1, chars) < 0.6::DOUBLE",
+    "stutter": "len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) / greatest(1, n) > 0.3::DOUBLE",
+    "letters": r"length(regexp_replace(t, '\P{L}', '', 'g')) / greatest(1, chars) < 0.3::DOUBLE",
     "shouting": r"n >= 20 AND length(regexp_replace(t, '\P{Lu}', '', 'g')) / greatest(1, length(regexp_replace(t, '\P{L}', '', 'g'))) > 0.7::DOUBLE",
 }
 assert list(_FAILS) == [r.name for r in RULES]

@@ -16,6 +16,7 @@ from .common import table
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 BITS = 18
+SAME_TWO, SAME_THREE = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 #: Training rows at most, taken by hash of the id from all labelled rows that are not held out.
 SAMPLE = 8_000
@@ -30,13 +31,18 @@ class _Words(dict):
 
 
 def features(text: str | None, words: _Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed words and word pairs of the whole text with weights of unit length; empty text: none."""
+    """Hashed words, pairs and triples of the whole text with weights of unit length; empty text: none.
+
+    A pair of the same word is one n-gram whatever the word, and triples are those whose outer words are the
+    same; so repetition is seen in words that no labelled text has.
+    """
     tokens = TOKEN.findall(text or "")
     if not tokens:
         return np.zeros(0, np.int64), np.zeros(0)
     one = np.fromiter(map(words.__getitem__, tokens), np.uint64, len(tokens))
-    two = one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed = np.concatenate([one * np.uint64(0xFF51AFD7ED558CCD), two])
+    two = np.where(one[:-1] == one[1:], SAME_TWO, one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
+    three = np.full(int((one[:-2] == one[2:]).sum()), SAME_THREE)
+    mixed = np.concatenate([one * np.uint64(0xFF51AFD7ED558CCD), two, three])
     at, n = np.unique(mixed >> np.uint64(64 - bits), return_counts=True)
     value = np.log1p(n)
     return at.astype(np.int64), value / np.sqrt(value @ value)

@@ -9,7 +9,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import table
 
@@ -88,6 +87,11 @@ def _tagged(t: Text) -> float:
     return sum(w[-1:] in b"#*$%&|!~^=" for w in t.words) / max(1, len(t.words))
 
 
+def _stutter(t: Text) -> float:
+    """Share of words that are the word before them."""
+    return sum(map(bytes.__eq__, t.words, t.words[1:])) / max(1, len(t.words))
+
+
 def _letters(t: Text) -> float:
     return sum(map(str.isalpha, t.text)) / max(1, word_chars(t))
 
@@ -101,9 +105,10 @@ def _shouted(t: Text) -> float:
 RULES = (
     Rule("mean_word_length", lambda t: not 2 <= _mean_word(t) <= 18),
     Rule("symbols", lambda t: n_symbols(t) > 0.3 * max(1, len(t.words))),
-    Rule("duplicate_lines", lambda t: n_dup_lines(t) > 0.3 * (t.text.count("\n") + 1)),
+    Rule("duplicate_lines", lambda t: n_dup_lines(t) > 0.5 * (t.text.count("\n") + 1)),
     Rule("marked_words", lambda t: _tagged(t) > 0.5),
-    Rule("letters", lambda t: _letters(t) < 0.6),
+    Rule("stutter", lambda t: _stutter(t) > 0.3),
+    Rule("letters", lambda t: _letters(t) < 0.3),
     Rule("shouting", lambda t: len(t.words) >= 20 and _shouted(t) > 0.7),
 )
 
@@ -141,7 +146,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base_failed, kept.  Null text is empty: no words, so base_failed.  Repeated rows, null ids and an
     empty table need nothing special; other columns are ignored.
     """
-    texts = [r[0] for r in docs.select(F.substring(text_col, 1, 20_000)).limit(sample).collect()]  # for timing only
+    texts = [r[0] for r in docs.select(text_col).limit(sample).collect()]  # for timing only
     ordered = order_rules(rules, texts)
     fields = [docs.select(id_col).schema[0].dataType, *["long"] * 5, "boolean", "boolean"]
     names = [id_col, *METRICS, "base_failed", "kept"]
