@@ -31,15 +31,16 @@ def motion_signals(motion: DataFrame, step: float) -> DataFrame:
     return signals.interpolate_to_grid(motion, ["video_id", "track_key"], "t", "v", step)
 
 
-def heuristic_fragments(segments: DataFrame, signal: DataFrame, energy: DataFrame, tracks: DataFrame, step: float, config: Config = DEFAULTS) -> DataFrame:
+def heuristic_fragments(segments: DataFrame, signal: DataFrame, energy: DataFrame, tracks: DataFrame, step: float, config: Config = DEFAULTS, width: float | None = 10.0) -> DataFrame:
     """A row for each segment and track that has enough of it: correlation (4 places) and n_samples.
 
     signal: video_id, track_key, hop_idx, v.  energy: video_id, hop_idx, rms.  tracks: video_id, track_key,
     identity, pos, shot_id, track_id.  The signal meets the audio once, on the grid; then grid points meet
+    segments by buckets of `width` seconds, so that work grows with the points and not with points times
     segments.  All shuffles are by video and what hangs below it.
     """
     joint = signal.join(energy, ["video_id", "hop_idx"]).withColumn("t", F.col("hop_idx") * F.lit(step))
-    within = intervals.points_in(joint, segments.select(*SEGMENT, "start_sec", "end_sec"), VIDEO, "t", ("start_sec", "end_sec"))
+    within = intervals.points_in(joint, segments.select(*SEGMENT, "start_sec", "end_sec"), VIDEO, "t", ("start_sec", "end_sec"), width)
     r = within.groupBy(*SEGMENT, "track_key").agg(pyround(signals.pearson("v", "rms", config.min_samples), 4).alias("correlation"), signals.joint_count("v", "rms").alias("n_samples"))
     return r.where("correlation is not null").join(tracks, ["video_id", "track_key"])
 

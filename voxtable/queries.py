@@ -6,6 +6,7 @@ points, labels are two attributions, embeddings are tracks and voices, conversat
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -16,6 +17,7 @@ from voxtable.config import Config
 from voxtable.functions import scalars as S
 from voxtable.operators import aggregates, attribution, cluster, corrections, filters, intervals, review, sequence, signals
 from voxtable.plans import attribution as plans
+from voxtable.streaming import stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,7 +94,7 @@ def _heuristic(spark: SparkSession, d: str, tracks: int) -> DataFrame:
     energy = used.groupBy("video_id", F.floor(F.col("sec") / STEP).alias("hop_idx")).agg(F.avg("value").alias("rms"))
     signal = plans.motion_signals(used.select("video_id", "track_key", F.col("sec").cast("double").alias("t"), F.col("value").alias("v")), float(STEP))
     names = used.select("video_id", "track_key").distinct().select("*", F.col("track_key").alias("pos"), F.concat(F.lit("person_"), (F.floor(F.col("track_key") / 10) % 5).cast("string")).alias("identity"), F.lit(0).alias("shot_id"), F.col("track_key").alias("track_id"))
-    out = plans.heuristic_attribution(segments, plans.heuristic_fragments(segments, signal, energy, names, float(STEP)))
+    out = plans.heuristic_attribution(segments, plans.heuristic_fragments(segments, signal, energy, names, float(STEP), width=259200.0))
     first = F.get("candidates", F.lit(0))["correlation"]
     return out.select("video_id", "segment_id", "assigned_speaker", "status", F.coalesce(F.size("candidates"), F.lit(0)).cast("long").alias("n_candidates"), first.alias("correlation"))
 
@@ -369,6 +371,23 @@ def pearson_masked(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("l_suppkey").agg(S.pyround(signals.pearson("a", "b"), 4).alias("correlation"), signals.joint_count("a", "b").alias("n_samples"))
 
 
+# streams
+
+
+@query("""WITH t AS (SELECT max(ts) AS last FROM events) SELECT date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) AS day, count(*) AS n, round(sum(value), 4) AS total
+FROM events, t WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= last - INTERVAL 1 HOUR GROUP BY ALL""")
+def stream_daily_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The events as a stream: windows of a day that the watermark has closed.  A row a day comes to the driver."""
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    seconds = F.expr("timestampdiff(SECOND, timestamp_ntz'2024-01-01', ts)")  # event time of its own, whatever the session's zone
+    source = spark.readStream.schema(schema).parquet(f"{d}/events*.parquet").withColumn("at", F.timestamp_seconds(seconds))
+    windows = stateful.windowed(source, "at", "1 hour", "1 day", [], n=F.count("*"), total=F.sum("value"))
+    name = f"windows_{uuid.uuid4().hex}"
+    run = windows.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.table(name).select(F.expr("cast(unix_seconds(window_start) div 86400 as bigint)").alias("day"), "n", F.round("total", 4).alias("total"))
+
+
 # decisions
 
 _FRAG = "frag AS (SELECT user_id % 30 AS segment_id, event_type AS identity, user_id AS track_id, avg(value) AS m, count(*) AS n FROM events GROUP BY ALL)"
