@@ -37,13 +37,10 @@ def ranked_candidates(df: DataFrame, keys: list[str], score: str, pos: str, fiel
 
 def top_two(df: DataFrame, keys: list[str], score: str, pos: str, identity: str = "identity") -> DataFrame:
     """keys, n, first, second and best: the two highest scores and whose the highest is."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(score), pos)
-    counted = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    two = df.withColumn("vx_nth", F.row_number().over(w)).where("vx_nth <= 2")
-    best = two.groupBy(*keys).agg(
-        F.max(F.when(F.col("vx_nth") == 1, F.col(score))).alias("first"), F.max(F.when(F.col("vx_nth") == 2, F.col(score))).alias("second"), F.max(F.when(F.col("vx_nth") == 1, F.col(identity))).alias("best")
-    )
-    return best.join(counted, keys)
+    own = Window.partitionBy(*keys)
+    nth = lambda k, c: F.max(F.when(F.col("vx_nth") == k, F.col(c)))
+    two = df.withColumn("vx_nth", F.row_number().over(own.orderBy(F.desc(score), pos))).withColumn("vx_n", F.count("*").over(own)).where("vx_nth <= 2")
+    return two.groupBy(*keys).agg(nth(1, score).alias("first"), nth(2, score).alias("second"), nth(1, identity).alias("best"), F.max("vx_n").alias("n"))
 
 
 def other_best(candidates: Column, name: Column, identity: str = "identity") -> Column:

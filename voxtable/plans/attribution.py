@@ -48,11 +48,16 @@ def heuristic_fragments(segments: DataFrame, signal: DataFrame, energy: DataFram
 def heuristic_attribution(segments: DataFrame, fragments: DataFrame, config: Config = DEFAULTS) -> DataFrame:
     """segments with assigned_speaker, status and candidates; segments without a candidate stay."""
     best = A.best_fragment(fragments, SEGMENT, "correlation", "pos")
-    two = A.top_two(best, SEGMENT, "correlation", "pos")
     ranked = A.ranked_candidates(best, SEGMENT, "correlation", "pos", ["identity", "shot_id", "track_id", "correlation", "n_samples"])
-    status = A.decide_heuristic(F.col("n"), F.col("first"), F.col("second"), config.confident, config.reject, config.margin)
-    out = segments.join(two.join(ranked, SEGMENT), SEGMENT, "left").withColumn("status", status)
-    return out.withColumn("assigned_speaker", A.speaker_of(F.col("status"), F.col("best"))).drop("n", "first", "second", "best")
+    return _decided(segments, ranked, "correlation", lambda n, a, b: A.decide_heuristic(n, a, b, config.confident, config.reject, config.margin))
+
+
+def _decided(segments: DataFrame, ranked: DataFrame, score: str, decide) -> DataFrame:
+    """segments with status, assigned_speaker and candidates; the two best are read off the ranked list."""
+    out = segments.join(ranked, SEGMENT, "left")
+    nth = lambda k: F.get("candidates", F.lit(k))
+    out = out.withColumn("status", decide(F.when(F.col("candidates").isNotNull(), F.size("candidates")), nth(0)[score], nth(1)[score]))
+    return out.withColumn("assigned_speaker", A.speaker_of(F.col("status"), nth(0)["identity"]))
 
 
 def model_attribution(segments: DataFrame, scores: DataFrame, tracks: DataFrame, config: Config = DEFAULTS, width: int | None = 250) -> DataFrame:
@@ -65,11 +70,8 @@ def model_attribution(segments: DataFrame, scores: DataFrame, tracks: DataFrame,
     inside = intervals.points_in(scores, spans, VIDEO, "frame", ("f0", "f1"), width)
     parts = inside.groupBy(*SEGMENT, "track_key").agg(pyround(F.avg("score"), 3).alias("mean_score"), F.count("*").alias("n_frames")).join(tracks, ["video_id", "track_key"])
     own = A.weighted_identity(parts, SEGMENT, "mean_score", "n_frames", "pos")
-    two = A.top_two(own, SEGMENT, "mean_score", "pos")
     ranked = A.ranked_candidates(own, SEGMENT, "mean_score", "pos", ["identity", "shot_id", "track_id", "n_frames", "mean_score"])
-    status = A.decide_model(F.col("n"), F.col("first"), F.col("second"), config.model_margin)
-    out = segments.join(two.join(ranked, SEGMENT), SEGMENT, "left").withColumn("status", status)
-    return out.withColumn("assigned_speaker", A.speaker_of(F.col("status"), F.col("best"))).drop("n", "first", "second", "best")
+    return _decided(segments, ranked, "mean_score", lambda n, a, b: A.decide_model(n, a, b, config.model_margin))
 
 
 def enrollment(segments: DataFrame, heuristic: DataFrame | None, model: DataFrame | None, config: Config = DEFAULTS) -> tuple[DataFrame, DataFrame]:

@@ -96,7 +96,7 @@ def _heuristic(spark: SparkSession, d: str, tracks: int) -> DataFrame:
     names = used.select("video_id", "track_key").distinct().select("*", F.col("track_key").alias("pos"), F.concat(F.lit("person_"), (F.floor(F.col("track_key") / 10) % 5).cast("string")).alias("identity"), F.lit(0).alias("shot_id"), F.col("track_key").alias("track_id"))
     out = plans.heuristic_attribution(segments, plans.heuristic_fragments(segments, signal, energy, names, float(STEP), width=259200.0))
     first = F.get("candidates", F.lit(0))["correlation"]
-    return out.select("video_id", "segment_id", "assigned_speaker", "status", F.coalesce(F.size("candidates"), F.lit(0)).cast("long").alias("n_candidates"), first.alias("correlation"))
+    return out.select("video_id", "segment_id", "assigned_speaker", "status", F.when(F.col("candidates").isNull(), F.lit(0)).otherwise(F.size("candidates")).cast("long").alias("n_candidates"), first.alias("correlation"))
 
 
 @query(_heuristic_sql(1000))
