@@ -388,6 +388,8 @@ def test_main_text():
         "<section id=comments><p>A reader's words, quite a lot of them in fact, more than the article has in its own right, on and on.</p></section><footer>&copy; x</footer></body></html>"
     )
     assert html_text.main_text(page) == "Head & line\nFirst bold text here.\nSecond line\nOne\nTwo"
+    own = "<body><div class=site-header>Site</div><main><div class='post-header'><h1>Title</h1></div><p>Some text of it.</p><div class=comment-list><p>Hm.</p></div></main><div id=footer>x</div></body>"
+    assert html_text.main_text(own) == "Title\nSome text of it."
     assert html_text.main_text("") == html_text.main_text(None) == ""
     assert html_text.main_text("just text & more") == "just text & more"
     assert html_text.main_text("<p>a < b</p><p>unclosed <i>x") == "a < b\nunclosed x"

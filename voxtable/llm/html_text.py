@@ -25,9 +25,11 @@ ROLES = frozenset("navigation banner contentinfo complementary search form dialo
 JUNK = re.compile(
     r"(?i)(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|adsense|banner|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|notice|alert|popup|modal|overlay"
     r"|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|recommendations|breadcrumb|breadcrumbs|menu|nav|navbar|navigation|sidebar|side|widget"
-    r"|footer|header|masthead|comment|comments|commentlist|disqus|respond|reply|replies|discussion|paywall|skip|pagination|pager|toolbar|tags|byline-share)(?:$|[\s_-]|\d)"
+    r"|footer|comment|comments|commentlist|disqus|respond|reply|replies|discussion|paywall|skip|pagination|pager|toolbar|tags|byline-share)(?:$|[\s_-]|\d)"
 )
-#: What these hide inside an article is not junk by class alone.
+#: Of these an article's own are kept: they hold its title.
+HEADER = re.compile(r"(?i)(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-]|\d)")
+#: These are never junk by their class.
 CONTENT = frozenset("html body article main".split())
 
 #: End tags that the next start tag implies.
@@ -50,16 +52,16 @@ class Node:
         self.kids: list[Node | str] = []
 
 
-def _is_junk(name: str, attrs: str) -> bool:
+def _is_junk(name: str, attrs: str, up: Node) -> bool:
     if name in DROPPED:
-        return True
+        return not (name == "header" and _within_article(up))
     if not attrs or name in CONTENT:
         return False
     for m in ATTR.finditer(attrs):
         key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id") and JUNK.search(value):
+        if key in ("class", "id") and (JUNK.search(value) or HEADER.search(value) and not _within_article(up)):
             return True
         if key == "style" and re.search(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
@@ -109,7 +111,7 @@ def parse(page: str) -> Node:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        node = Node(name, here, _is_junk(name, m[3]) and not (name == "header" and _within_article(here)))
+        node = Node(name, here, _is_junk(name, m[3], here))
         here.kids.append(node)
         if not m[3].endswith("/") or name not in ("svg", "math"):
             here = node
