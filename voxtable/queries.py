@@ -109,6 +109,26 @@ def heuristic_attribution_few_tracks(spark: SparkSession, d: str) -> DataFrame:
     return _heuristic(spark, d, 2)
 
 
+@query(f"""
+WITH {EV}, scores AS (SELECT user_id % 10 AS video_id, user_id, sec // 864 AS frame, value - 15 AS score FROM ev),
+segments AS (SELECT v.video_id, s.segment_id, s.segment_id * 300 AS f0, (s.segment_id + 1) * 300 AS f1 FROM (SELECT DISTINCT video_id FROM scores) v, (SELECT unnest(range(12)) AS segment_id) s),
+g AS (SELECT s.video_id, segment_id, user_id, avg(score) AS m, count(*) AS n FROM segments s JOIN scores x ON s.video_id = x.video_id AND frame BETWEEN f0 AND f1 GROUP BY ALL),
+f AS (SELECT video_id, segment_id, user_id, 'person_' || (user_id // 10) % 5 AS identity, n, {pr('m', 3)} AS m FROM g),
+w AS (SELECT video_id, segment_id, identity, sum(m * n) / sum(n) AS w, min(user_id) AS pos FROM f GROUP BY ALL), o AS (SELECT video_id, segment_id, identity, pos, {pr('w', 3)} AS m FROM w),
+k AS (SELECT *, row_number() OVER (PARTITION BY video_id, segment_id ORDER BY m DESC, pos) AS p, count(*) OVER (PARTITION BY video_id, segment_id) AS n FROM o),
+two AS (SELECT video_id, segment_id, max(n) AS n, max(CASE WHEN p = 1 THEN m END) AS a, max(CASE WHEN p = 2 THEN m END) AS b, max(CASE WHEN p = 1 THEN identity END) AS who FROM k GROUP BY ALL),
+d AS (SELECT s.video_id, s.segment_id, n, a, who, CASE WHEN n IS NULL THEN 'uncertain_no_confident_face' WHEN n > 1 AND a - b < 0.2 THEN 'uncertain_ambiguous_multi_candidate' WHEN a >= 0 THEN 'assigned' ELSE 'assigned_low_confidence' END AS status FROM segments s LEFT JOIN two USING (video_id, segment_id))
+SELECT video_id, segment_id::BIGINT AS segment_id, status, CASE WHEN status LIKE 'assigned%' THEN who END AS assigned_speaker, coalesce(n, 0)::BIGINT AS n_candidates, a AS mean_score FROM d""")
+def model_attribution(spark: SparkSession, d: str) -> DataFrame:
+    """Segments attributed by a face model's frame scores; 21,600 seconds of events are one of the video."""
+    rows = events(spark, d).select((F.col("user_id") % 10).alias("video_id"), F.col("user_id").alias("track_key"), F.floor(F.col("sec") / 864).alias("frame"), (F.col("value") - 15).alias("score"))
+    segments = rows.select("video_id").distinct().withColumn("segment_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(11).cast("long")))).withColumns({"start_sec": F.col("segment_id") * 12.0, "end_sec": (F.col("segment_id") + 1) * 12.0})
+    tracks = rows.select("video_id", "track_key").distinct().select("*", F.col("track_key").alias("pos"), F.concat(F.lit("person_"), (F.floor(F.col("track_key") / 10) % 5).cast("string")).alias("identity"), F.lit(0).alias("shot_id"), F.col("track_key").alias("track_id"))
+    out = plans.model_attribution(segments, rows, tracks)
+    n = F.when(F.col("candidates").isNull(), F.lit(0)).otherwise(F.size("candidates")).cast("long")
+    return out.select("video_id", "segment_id", "status", "assigned_speaker", n.alias("n_candidates"), F.get("candidates", F.lit(0))["mean_score"].alias("mean_score"))
+
+
 # scans and filters
 
 
