@@ -19,7 +19,7 @@ BITS = 18
 SAME_TWO, SAME_THREE = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 #: Training rows at most, taken by hash of the id from all labelled rows that are not held out.
-SAMPLE = 8_000
+SAMPLE = 4_000
 
 
 class _Words(dict):
@@ -89,8 +89,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Weights, the last being the bias, learnt from at most `sample` labelled rows that are not held out.
 
     The rows are those of the smallest hashes of their ids; their ids, of a bounded number, are broadcast, and
-    their features are made where the texts lie.  An id with both labels counts as its larger one, labels
-    other than 0 and 1 are passed over.  Without any row all weights are zero: every score is 0.5.
+    their features are made by executors.  An id of several rows counts with its least text and its larger
+    label; labels other than 0 and 1 are passed over.  Without any row all weights are zero: every score is 0.5.
     """
     chosen = (
         labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
@@ -99,7 +99,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
         .limit(sample)
     )
-    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), "vx_label", text_col).limit(sample)
+    rows = docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).groupBy(id_col, "vx_label").agg(F.min(F.coalesce(text_col, F.lit(""))).alias("t"))
+    rows = rows.select(F.xxhash64(F.col(id_col).cast("string")).alias("h"), "vx_label", "t")
 
     def made(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -110,7 +111,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     model = Ftrl(bits)
     got = sorted(map(tuple, rows.mapInArrow(made, "h long, y int, at binary, value binary").collect()))
-    seen = [(np.frombuffer(a, "<i4").astype(np.int64), np.frombuffer(v, "<f4").astype(float), y) for _, y, a, v in got]
+    seen = [(np.frombuffer(a, "<i4"), np.frombuffer(v, "<f4"), y) for _, y, a, v in got]  # views, not copies
     for _ in range(epochs):
         for at, value, y in seen:
             model.learn(at, value, y)
