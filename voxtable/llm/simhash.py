@@ -175,12 +175,16 @@ def component_of(rows: DataFrame, id_col: str, bits: int = BITS) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """docs with one row of each group: the smallest id, of equal ids the first row."""
+    """docs with one row of each group: the smallest id, of equal ids the first row.
+
+    Rows meet their verdict in a sort-merge join whatever the size, so that a plan that is measured on a
+    small table is the one that a large table gets.
+    """
     rows = stage(rows_with_ids(fingerprints(docs, text_col), "vx_row"))
     groups = component_of(rows, id_col, bits)
     nodes = rows.groupBy("vx_fp").agg(F.expr(f"min(struct(`{id_col}` is null, `{id_col}`, vx_row))").alias("first"))
     firsts = stage(nodes.join(groups, "vx_fp").groupBy("vx_root").agg(F.min("first").alias("first")).select(F.col("first.vx_row").alias("vx_row")))
-    return rows.join(firsts, "vx_row", "left_semi").drop("vx_row", "vx_fp")
+    return rows.hint("merge").join(firsts, "vx_row", "left_semi").drop("vx_row", "vx_fp")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
