@@ -93,6 +93,15 @@ def _edges_of_runs(key: np.ndarray, fp: np.ndarray, bits: int) -> Iterator[tuple
         yield from _linked(run, bits)
 
 
+def _whole(key: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Fingerprints from table values and what was entered beside them."""
+    half, width = np.uint64(0xFFFFFFFF), np.uint64(32)
+    bit = rest >> width
+    own = (key & half) ^ np.where(bit == width, np.uint64(0), np.uint64(1) << (bit & np.uint64(31)))
+    other = rest & half
+    return np.where(key >> width == 0, other << width | own, own << width | other)
+
+
 class _Forest:
     """Union of what one task has linked, so that it sends a spanning forest and not every link."""
 
@@ -123,10 +132,13 @@ def links(distinct: DataFrame, bits: int = BITS, fp: str = "vx_fp") -> DataFrame
     of a table value are sorted next to each other; each pair's full distance is verified there, or, where
     many share a value, searched from member to member, so that what is made is a forest and never all pairs.
     """
-    v = F.when(F.col("i") < 33, F.col(fp).bitwiseAND(0xFFFFFFFF)).otherwise(F.shiftrightunsigned(fp, 32))
+    low, high = F.col(fp).bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(fp, 32)
+    first, bit = F.col("i") < 33, F.expr("i % 33")  # bit 32: none is flipped
     flip = F.expr("case when i % 33 = 32 then 0L else shiftleft(1L, cast(i % 33 as int)) end")
-    key = v.bitwiseXOR(flip).bitwiseOR(F.when(F.col("i") < 33, F.lit(0)).otherwise(F.lit(1 << 32)))
-    entered = distinct.select(fp, F.explode(F.sequence(F.lit(0), F.lit(65))).alias("i")).select(key.alias("key"), fp)
+    key = F.when(first, low.bitwiseXOR(flip)).otherwise(high.bitwiseXOR(flip).bitwiseOR(F.lit(1 << 32)))
+    # the other half and the flipped bit are the rest of the fingerprint: short numbers, which compress well
+    rest = F.when(first, high).otherwise(low).bitwiseOR(F.shiftleft(bit.cast("long"), 32))
+    entered = distinct.select(fp, F.explode(F.sequence(F.lit(0), F.lit(65))).alias("i")).select(key.alias("key"), rest.alias("rest"))
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = _Forest()
@@ -138,9 +150,10 @@ def links(distinct: DataFrame, bits: int = BITS, fp: str = "vx_fp") -> DataFrame
             return pa.RecordBatch.from_arrays([pa.array(pairs.max(axis=1)), pa.array(pairs.min(axis=1))], names=["hi", "lo"])
 
         for batch in it:
-            key, fp = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+            key, rest = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
             if not len(key):
                 continue
+            fp = _whole(key, rest)
             start = int(np.searchsorted(key, key[-1]))
             if start == 0 and (not held or held[-1][0][-1] == key[0]):
                 held.append((key, fp))
