@@ -56,7 +56,7 @@ class Ids(dict):
         if len(self) > 500_000:
             self.clear()
             self.update(self.frequent)
-        self[w] = i = self.frequent.get(w, self.base + zlib.crc32(w) % (SIZE - self.base))
+        self[w] = i = self.base + zlib.crc32(w) % (SIZE - self.base)
         return i
 
 
@@ -65,9 +65,11 @@ def encode(text: str | None, ids: Ids) -> np.ndarray:
     return np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _exp_and_sums(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of the logits, in place, and the sums of its rows; logits stay within +-60."""
+    np.clip(x, -60, 60, out=x)
+    np.exp(x, out=x)
+    return x, x @ np.ones(x.shape[1], np.float32)
 
 
 class Network:
@@ -78,47 +80,47 @@ class Network:
         self.s = views(self.seen)
 
     def forward(self, context: np.ndarray, target: np.ndarray) -> tuple:
-        p = self.p
+        """Log-probabilities of the targets, and what learning needs, in order of the targets' classes."""
+        p, n = self.p, len(target)
+        order = np.argsort(target, kind="stable")
+        context, (kind, member) = context[order], np.divmod(target[order], MEMBERS)
+        cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
         parts = p["embed"][context]
-        h = np.tanh((parts * p["place"]).sum(axis=1) + p["hidden"])
-        kind, member = np.divmod(target, MEMBERS)
-        of_class = _log_softmax(h @ p["class_w"] + p["class_b"])
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        of_word = np.empty((len(target), MEMBERS), np.float32)
-        for c in np.flatnonzero(np.diff(cuts)):
-            own = order[cuts[c] : cuts[c + 1]]
-            of_word[own] = h[own] @ p["word_w"][c] + p["word_b"][c]
-        of_word = _log_softmax(of_word)
-        rows = np.arange(len(target))
-        return of_class[rows, kind] + of_word[rows, member], (parts, h, kind, member, of_class, of_word, order, cuts)
+        h = np.tanh(np.einsum("njd,jd->nd", parts, p["place"]) + p["hidden"])
+        of_class, class_sum = _exp_and_sums(h @ p["class_w"] + p["class_b"])
+        of_word = np.empty((n, MEMBERS), np.float32)
+        for c in range(CLASSES):
+            if cuts[c] < cuts[c + 1]:
+                of_word[cuts[c] : cuts[c + 1]] = h[cuts[c] : cuts[c + 1]] @ p["word_w"][c] + p["word_b"][c]
+        of_word, word_sum = _exp_and_sums(of_word)
+        rows = np.arange(n)
+        out = np.empty(n, np.float32)
+        out[order] = np.log(of_class[rows, kind] / class_sum) + np.log(of_word[rows, member] / word_sum)
+        return out, (context, parts, h, kind, member, cuts, of_class / (n * class_sum)[:, None], of_word / (n * word_sum)[:, None])
 
     def learn(self, context: np.ndarray, target: np.ndarray) -> None:
         """One step of adaptive gradient descent on the mean log-probability of the targets."""
         p, n = self.p, len(target)
-        _, (parts, h, kind, member, of_class, of_word, order, cuts) = self.forward(context, target)
+        _, (context, parts, h, kind, member, cuts, dc, dw) = self.forward(context, target)
         rows = np.arange(n)
-        dc, dw = np.exp(of_class), np.exp(of_word)
-        dc[rows, kind] -= 1
-        dw[rows, member] -= 1
-        dc /= n
-        dw /= n
+        dc[rows, kind] -= np.float32(1 / n)
+        dw[rows, member] -= np.float32(1 / n)
         dh = dc @ p["class_w"].T
-        self._move("class_w", h.T @ dc)
-        self._move("class_b", dc.sum(axis=0))
         gw, gb = np.zeros(SHAPES["word_w"], np.float32), np.zeros(SHAPES["word_b"], np.float32)
-        for c in np.flatnonzero(np.diff(cuts)):
-            own = order[cuts[c] : cuts[c + 1]]
-            dh[own] += dw[own] @ p["word_w"][c].T
-            gw[c], gb[c] = h[own].T @ dw[own], dw[own].sum(axis=0)
-        self._move("word_w", gw)
-        self._move("word_b", gb)
+        for c in range(CLASSES):
+            if cuts[c] < cuts[c + 1]:
+                own = slice(cuts[c], cuts[c + 1])
+                dh[own] += dw[own] @ p["word_w"][c].T
+                gw[c], gb[c] = h[own].T @ dw[own], dw[own].sum(axis=0)
         dx = dh * (1 - h * h)
-        self._move("hidden", dx.sum(axis=0))
-        de = (dx[:, None, :] * p["place"]).reshape(-1, WIDTH)
-        self._move("place", np.einsum("nd,njd->jd", dx, parts))
-        flat = context.ravel()
-        self._move("embed", np.stack([np.bincount(flat, de[:, d], SIZE + 1) for d in range(WIDTH)], axis=1).astype(np.float32))
+        de = dx[:, None, :] * p["place"]
+        cells = (context[:, :, None] * WIDTH + np.arange(WIDTH, dtype=np.int32)).ravel()
+        grads = {
+            "class_w": h.T @ dc, "class_b": dc.sum(axis=0), "word_w": gw, "word_b": gb, "hidden": dx.sum(axis=0), "place": np.einsum("nd,njd->jd", dx, parts),
+            "embed": np.bincount(cells, de.ravel(), (SIZE + 1) * WIDTH).reshape(-1, WIDTH),
+        }
+        for name, g in grads.items():
+            self._move(name, g.astype(np.float32, copy=False))
 
     def _move(self, name: str, g: np.ndarray) -> None:
         self.s[name][...] += g * g
