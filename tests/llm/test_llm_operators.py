@@ -538,6 +538,30 @@ def test_masked_lm_learns_from_both_sides(spark):
     assert masked_lm.pseudo_likelihood(odd(spark).limit(0)).count() == 0
 
 
+def test_masked_lm_tells_rare_words_apart(spark):
+    counts = {f"f{i:03}": 9 for i in range(masked_lm.FREQUENT)}
+    rare = [f"r{i:04}" for i in range(600)]
+    counts |= {w: 1 + i % 5 for i, w in enumerate(rare)}
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(w for w, n in counts.items() for _ in range(n))], "doc_id long, text string").repartition(3)
+    total = Counter()
+    for w in rare:
+        total[zlib.crc32(w.encode()) % (masked_lm.SIZE - masked_lm.FREQUENT)] += counts[w]
+    found = []
+    for sent in (masked_lm.SENT, masked_lm.FREQUENT + 250, 0):  # counts sent whole, in part, joined
+        rows = masked_lm.pseudo_likelihood(df, sent=sent).join(df, "doc_id").collect()
+        assert len(rows) == sum(counts.values())
+        by = {r.text: r.log_likelihood for r in rows}
+        assert all(abs(r.log_likelihood - by[r.text]) < 1e-5 for r in rows)
+        found.append(by)
+        bucket = {}
+        for w in rare:  # every context is empty: words of one hashed id differ by their counts only
+            b = zlib.crc32(w.encode()) % (masked_lm.SIZE - masked_lm.FREQUENT)
+            bucket.setdefault(b, []).append(by[w] - math.log(counts[w] / total[b]))
+        assert all(max(x) - min(x) < 1e-5 for x in bucket.values())
+        assert sum(map(math.exp, by.values())) < 1 + 1e-4
+    assert all(abs(found[0][w] - x[w]) < 0.05 for x in found[1:] for w in counts)
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(1)
     flat = masked_lm.initial(3)

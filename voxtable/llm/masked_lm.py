@@ -4,20 +4,25 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, table
+from .common import LOWER, UPPER, rows_with_ids, stage, table
 
 #: Frequent words with an id of their own; other words share one of the rest of the ids by hash.
 FREQUENT, CLASSES, MEMBERS = 768, 32, 32
 SIZE = CLASSES * MEMBERS
+#: Words at most whose counts are sent to every task; the counts of all others are joined.
+SENT = 100_000
 WIDTH, SIDE = 16, 2
 STEP, RATE = 2048, 0.1
 CHUNK = 512
+#: Tokens that are made into positions at once.
+PART = 1 << 18
 
 SHAPES = {
     "embed": (SIZE + 1, WIDTH), "place": (2 * SIDE, WIDTH), "hidden": (WIDTH,), "class_w": (WIDTH, CLASSES), "class_b": (CLASSES,),
@@ -60,6 +65,17 @@ class Ids(dict):
         return i
 
 
+class Places(dict):
+    """Places of words whose counts are known here; of other words minus the id they share, less one."""
+
+    def __init__(self, known: list[bytes], frequent: list[str]):
+        super().__init__((w, i) for i, w in enumerate(known))
+        self.ids, self.known = Ids(frequent), len(known)
+
+    def __missing__(self, w: bytes) -> int:
+        return -1 - self.ids[w]
+
+
 def encode(text: str | None, ids: Ids) -> np.ndarray:
     words = (text or "").encode().lower().split()
     return np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
@@ -137,7 +153,7 @@ def positions(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.stack([line[at + o] for o in offsets], axis=1) if len(at) else np.zeros((0, 2 * SIDE), np.int32), line[at], np.repeat(np.arange(len(texts)), lengths)
 
 
-def _in_parts(column: pa.Array, ids: Ids, most: int = 1 << 18) -> Iterator[list[np.ndarray]]:
+def _in_parts(column: pa.Array, ids: Ids, most: int = PART) -> Iterator[list[np.ndarray]]:
     """The texts of a column as ids, in lists of about `most` tokens (a longer text is alone in its list)."""
     held, n = [], 0
     for x in column:
@@ -150,10 +166,38 @@ def _in_parts(column: pa.Array, ids: Ids, most: int = 1 << 18) -> Iterator[list[
         yield held
 
 
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(w, n) for every word of all documents."""
+    words = docs.select(F.explode(F.split(F.coalesce(text_col, F.lit("")), r"[\x20\x09-\x0D]+")).alias("w")).where("w != ''")
+    # lower() is the faster of the two and the same for words of ASCII only
+    words = words.select(F.when(F.octet_length("w") == F.char_length("w"), F.lower("w")).otherwise(F.translate("w", UPPER, LOWER)).alias("w"))
+    return words.groupBy("w").agg(F.count("*").alias("n"))
+
+
+def most_frequent(counts: DataFrame, n: int = FREQUENT) -> list[str]:
+    return [r.w for r in counts.orderBy(F.desc("n"), "w").limit(n).collect()]
+
+
 def frequent_words(docs: DataFrame, text_col: str = "text", n: int = FREQUENT) -> list[str]:
     """The n most frequent words of all documents, most first; of equally frequent ones the smaller first."""
-    words = docs.select(F.explode(F.split(F.translate(F.coalesce(text_col, F.lit("")), UPPER, LOWER), r"[\x20\x09-\x0D]+")).alias("w")).where("w != ''")
-    return [r.w for r in words.groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(n).collect()]
+    return most_frequent(word_counts(docs, text_col), n)
+
+
+def own_logs(counts: DataFrame, frequent: list[str], sent: int = SENT) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words of the largest counts, `sent` at most, and those with an id of their own; log n of each (0 with an own id); for each id the log of its hashed words' total."""
+    base, left, least = len(frequent), sent, None
+    for r in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect():  # one row a count, not a word
+        left -= r.words
+        if left < 0:
+            break
+        least = r.n
+    logs = {} if least is None else {r.w.encode(): float(np.log(r.n)) for r in counts.where(F.col("n") >= least).collect()}
+    logs |= dict.fromkeys((w.encode() for w in frequent), 0.0)
+    totals = np.zeros(SIZE)
+    rare = counts.where(~F.col("w").isin(frequent)) if frequent else counts
+    for r in rare.groupBy((F.crc32(F.col("w").cast("binary")) % (SIZE - base)).alias("b")).agg(F.sum("n").alias("n")).collect():
+        totals[base + r.b] = r.n
+    return list(logs), np.fromiter(logs.values(), np.float64, len(logs)), np.log(np.maximum(totals, 1))
 
 
 def train(docs: DataFrame, frequent: list[str], text_col: str = "text", start: np.ndarray | None = None) -> np.ndarray:
@@ -184,32 +228,64 @@ def train(docs: DataFrame, frequent: list[str], text_col: str = "text", start: n
     return out
 
 
-def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sent: int = SENT) -> DataFrame:
     """For each document the sum of the log-probabilities of its tokens, each predicted from both sides.
 
-    Tokens are words in lower case; all of every document are counted (for the ids), learnt from and scored.
-    A word without an id of its own is predicted as one of the hashed rest.
+    Tokens are words in lower case; all of every document are counted, learnt from and scored.  A word
+    without an id of its own has the probability of its hashed id by context times its share of all tokens
+    with that id by full counts; so each word of the corpus, however rare, has a probability of its own and
+    those of all words sum to one.  The counts of the most frequent words are sent to the tasks, all others
+    are joined: they are rare, so no key of that join is large.
 
     Result, a row for each input row: id_col, n_tokens, log_likelihood (0.0 without tokens), mean_log_prob
     (null without tokens).  Null text is empty.  Repeated rows get equal scores; an empty table gives no rows.
     """
-    frequent = frequent_words(docs, text_col)
+    counts = stage(word_counts(docs, text_col))
+    frequent = most_frequent(counts)
     flat = train(docs, frequent, text_col)
+    *own, log_totals = own_logs(counts, frequent, sent)
+    known = docs.sparkSession.sparkContext.broadcast(own)  # of a bounded size
     kind = docs.select(id_col).schema[0].dataType.simpleString()
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, ids = Network(flat.copy()), Ids(frequent)
+        net, (words, log_n) = Network(flat.copy()), known.value
+        places, ids = Places(words, frequent), Ids(frequent)
+        id_of = np.fromiter((ids[w] for w in words), np.int32, len(words))
+
+        def scores(texts: list[np.ndarray]) -> list[float]:
+            context, target, of = positions(texts)
+            p = np.concatenate([net.forward(context[at : at + STEP], target[at : at + STEP])[0] for at in range(0, len(target), STEP)] or [np.zeros(0)])
+            return np.bincount(of, p - log_totals[target], len(texts)).tolist()
+
         for batch in it:
-            counts, sums = [], []
-            for texts in _in_parts(batch.column(1), ids):
-                context, target, of = positions(texts)
-                p = np.concatenate([net.forward(context[at : at + STEP], target[at : at + STEP])[0] for at in range(0, len(target), STEP)] or [np.zeros(0)])
-                counts += map(len, texts)
-                sums += np.bincount(of, p, len(texts)).tolist()
-            means = [s / n if n else None for s, n in zip(sums, counts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())], names=[id_col, "n_tokens", "log_likelihood", "mean_log_prob"])
-
-    return docs.select(id_col, text_col).mapInArrow(batches, f"`{id_col}` {kind}, n_tokens long, log_likelihood double, mean_log_prob double")
+            texts, sums, own, joined, counts, n = [], [], [], [], [], 0
+            for x in batch.column(1):
+                found = (x.as_py() or "").encode().lower().split()
+                ids_here = np.fromiter(map(places.__getitem__, found), np.int32, len(found))
+                rest = ids_here < 0
+                at = ids_here[~rest]
+                own.append(float(log_n[at].sum()))
+                joined.append([found[k] for k in np.flatnonzero(rest)])
+                ids_here[~rest], ids_here[rest] = id_of[at], -1 - ids_here[rest]
+                texts.append(ids_here)
+                counts.append(len(found))
+                n += len(found)
+                if n >= PART:
+                    sums += scores(texts)
+                    texts, n = [], 0
+            if texts:
+                sums += scores(texts)
+            sums = [a + b for a, b in zip(sums, own, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), pa.array(joined, pa.list_(pa.string()))], names=[id_col, "n_tokens", "vx_sum", "vx_words"])
+
+    rows = stage(rows_with_ids(docs.select(id_col, text_col).mapInArrow(batches, f"`{id_col}` {kind}, n_tokens long, vx_sum double, vx_words array<string>")))
+    # a word that occurs once has a log of zero and needs no join
+    rest = rows.select("vx_row", F.explode("vx_words").alias("w")).join(counts.where("n > 1").hint("shuffle_hash"), "w")
+    # summed as whole numbers: the order of the rows changes nothing, so that repeated rows get equal scores
+    rest = rest.groupBy("vx_row").agg((F.sum(F.round(F.log("n") * 2.0**32).cast("long")) / 2.0**32).alias("vx_rest"))
+    total = F.col("vx_sum") + F.coalesce("vx_rest", F.lit(0.0))
+    found = rows.drop("vx_words").hint("merge").join(rest, "vx_row", "left")
+    return found.select(id_col, "n_tokens", total.alias("log_likelihood"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob"))
 
 
 def op5_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
