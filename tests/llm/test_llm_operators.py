@@ -322,6 +322,14 @@ def roles(pages):
     return out
 
 
+def test_warc_headers_beyond_the_window(spark):
+    rng = random.Random(4)
+    url = lambda n: "http://x/" + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    pages = [(i, url(n), f"<p>{i}</p>") for i, n in enumerate((20, 70_000, 30, 300_000, 2_000_000, 40))]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    same([(r.page_id, r.url, bytes(r.payload).decode()) for r in warc.round_trip(df).collect()], pages)
+
+
 @pytest.mark.parametrize("split", [700, 5000, 1 << 20])
 def test_warc_splits_own_each_record_once(spark, split):
     rng = random.Random(1)

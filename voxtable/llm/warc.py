@@ -19,7 +19,7 @@ MAGIC = b"\x1f\x8b\x08"
 LEAST_REVISIT = 1000
 #: Bytes of an archive that one task looks for record starts in.
 SPLIT = 8 << 20
-#: What of a candidate member is decoded to see whether it is a record.
+#: What of a candidate member is decoded to see whether it may be a record.
 HEADER = 64 << 10
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
@@ -88,7 +88,7 @@ def _members(file, start: int, end: int, size: int) -> Iterator[bytes]:
     """Whole records, decoded, whose members start in [start, end)."""
     at, buffer, base = start, b"", start
     while at < end:
-        if base + len(buffer) < min(at + HEADER, size):  # keep a header's worth ahead
+        if at < base or base + len(buffer) < min(at + HEADER, size):  # keep a header's worth ahead
             file.seek(at)
             buffer, base = file.read(min(max(HEADER, end - at), 4 << 20) + HEADER), at
         found = buffer.find(MAGIC, at - base)
@@ -106,7 +106,7 @@ def _members(file, start: int, end: int, size: int) -> Iterator[bytes]:
         except zlib.error:
             at += 1
             continue
-        if not (head.startswith(b"WARC/1.") and b"\r\n\r\n" in head and b"\r\nWARC-Type:" in head):
+        if not head.startswith(b"WARC/1."):
             at += 1
             continue
         parts, data, taken = [head], unpack.unconsumed_tail, found + HEADER
@@ -128,8 +128,12 @@ def _members(file, start: int, end: int, size: int) -> Iterator[bytes]:
             continue
         if not unpack.eof:
             raise ValueError(f"the archive ends within the record at {at}")
+        data = b"".join(parts)
+        if b"\r\nWARC-Type:" not in data.partition(b"\r\n\r\n")[0] or b"\r\n\r\n" not in data:  # a header may be longer than the window
+            at += 1
+            continue
         at = base + min(taken, len(buffer)) - len(unpack.unused_data)
-        yield b"".join(parts)
+        yield data
 
 
 def parse_record(data: bytes) -> tuple:
@@ -191,7 +195,11 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """
     files = write_archives(with_roles(pages, id_col, url_col, html_col), folder or shared_dir(pages.sparkSession))
     kind = pages.select(id_col).schema[0].dataType
-    return read_archives(files, with_payload=with_payload).withColumns({"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
+    found = stage(read_archives(files, with_payload=with_payload))
+    written, read = files.agg(F.sum("records")).first()[0] or 0, found.count()
+    if read != written:
+        raise ValueError(f"{written} records were written, {read} read")
+    return found.withColumns({"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
 
 
 def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
