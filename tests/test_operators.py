@@ -297,3 +297,13 @@ def test_results_do_not_depend_on_partitions(spark):
         found.append([rows(QUERIES[q](spark, "/root/testdata/sf0.001")) for q in ("heuristic_attribution", "shots", "weighted_identity", "correct_identities")])
     spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert found[0] == found[1]
+
+
+def test_heuristic_attribution_keeps_every_user(spark, tmp_path):
+    from voxtable.queries import QUERIES
+
+    rows = [(i, f"2024-01-01 {i % 24:02}:00:00", 10_005, "e", float(i % 7)) for i in range(24)]
+    df = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double")
+    df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["heuristic_attribution"](spark, str(tmp_path)).where("segment_id = 0").collect()
+    assert [(r.video_id, r.n_candidates) for r in found] == [(5, 1)]
