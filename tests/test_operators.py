@@ -307,3 +307,23 @@ def test_heuristic_attribution_keeps_every_user(spark, tmp_path):
     df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
     found = QUERIES["heuristic_attribution"](spark, str(tmp_path)).where("segment_id = 0").collect()
     assert [(r.video_id, r.n_candidates) for r in found] == [(5, 1)]
+
+
+def test_merge_captions_compares_whole_texts(spark, tmp_path):
+    from difflib import SequenceMatcher
+
+    from voxtable.queries import QUERIES
+
+    same, far, other = "the same long opening of forty letters ok " + "abc " * 40, "the same long opening of forty letters ok " + "xyz " * 60, "nothing alike 12345"
+    turns = [(1, 0, "user", same), (1, 1, "user", far), (1, 2, "user", far + "."), (1, 3, "user", other), (2, 0, "user", other), (2, 1, "assistant", other), (2, 5, "user", other)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    plain = []
+    for conv, turn, role, text in turns:
+        t, c = f"{role} {text}", float(len(text))
+        last = plain[-1] if plain and plain[-1][0] == conv else None
+        if last and turn - last[2] <= 0.5 and SequenceMatcher(None, last[3], t).ratio() >= 0.7:
+            plain[-1] = (conv, last[1], turn + 0.75, t if c >= last[4] else last[3], max(c, last[4]))
+        else:
+            plain.append((conv, float(turn), turn + 0.75, t, c))
+    assert len(plain) == 5
+    assert rows(QUERIES["merge_captions"](spark, str(tmp_path)), "conv_id", "start_sec", "end_sec", "text_pt", "confidence") == sorted(plain, key=repr)

@@ -323,8 +323,8 @@ def merge_captions_levenshtein(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def merge_captions(spark: SparkSession, d: str) -> DataFrame:
-    """Captions merged by the similarity of sequence matching; tests hold it against a plain fold."""
-    rows = table(spark, d, "conversations").select("conv_id", F.col("turn").cast("double").alias("start_sec"), (F.col("turn") + 0.75).alias("end_sec"), (F.col("turn") + 0.38).alias("mid_sec"), F.col("role").alias("text_pt"), F.length("text").cast("double").alias("confidence"))
+    """Captions, whole roles and texts, merged by the similarity of sequence matching; tests hold it against a plain fold."""
+    rows = table(spark, d, "conversations").select("conv_id", F.col("turn").cast("double").alias("start_sec"), (F.col("turn") + 0.75).alias("end_sec"), (F.col("turn") + 0.38).alias("mid_sec"), F.concat_ws(" ", "role", "text").alias("text_pt"), F.length("text").cast("double").alias("confidence"))
     return sequence.merge_near_duplicates(rows, ["conv_id"])
 
 
