@@ -348,6 +348,57 @@ def test_warc_splits_own_each_record_once(spark, split):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def member(head, block=b"", sizes=True):
+    lines = [*head, *([f"Content-Length: {len(block)}"] if sizes else [])]
+    return gzip.compress(("\r\n".join(lines) + "\r\n\r\n").encode() + block + b"\r\n\r\n")
+
+
+def archive(spark, tmp_path, *members):
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(b"".join(members))
+    return spark.createDataFrame([(f"file://{path}", path.stat().st_size)], "path string, bytes long")
+
+
+def test_warc_of_other_writers(spark, tmp_path):
+    import base64
+
+    body = b"<p>hello" * 300
+    digest = "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+    http = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + body
+    head = lambda kind, *more: ["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:x>", *more]
+    given = (
+        member(head("warcinfo"), b"software: x\r\n"),
+        member(head("response", "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: {digest}", "WARC-Target-URI: http://e/"), http),
+        member(head("request", "Content-Type: application/http; msgtype=request"), b"GET / HTTP/1.1\r\n\r\n"),
+        member(head("resource"), body), member(head("revisit", f"WARC-Payload-Digest: {digest.lower()}")), member(head("response", "WARC-Payload-Digest: md5:abc"), b"x"),
+    )
+    for split in (100, 1 << 20):
+        rows = warc.read_archives(archive(spark, tmp_path, *given), split).collect()
+        hexed = hashlib.sha1(body).hexdigest()
+        same([(r.record_type, r.payload_bytes, r.url) for r in rows], [("warcinfo", 13, None), ("response", 2400, "http://e/"), ("request", 18, None), ("resource", 2400, None), ("revisit", None, None), ("response", 1, None)])
+        assert {r.payload_digest for r in rows if r.record_type in ("revisit", "resource")} == {hexed} and not any(r.problem for r in rows)
+
+
+def test_warc_reports_broken_members(spark, tmp_path):
+    good = member(["WARC/1.1", "WARC-Type: resource", "X-Page-Id: 1"], random.Random(3).randbytes(5000))
+    spoilt = bytearray(good)
+    spoilt[len(good) // 2] ^= 255
+    given = (good, bytes(spoilt), good, member(["WARC/1.1", "WARC-Type: resource"], b"x", sizes=False), member(["WARC/1.1", "WARC-Type: resource", "WARC-Payload-Digest: sha1:" + "0" * 40], b"x"), good, good[:-900])
+    for split in (700, 1 << 20):
+        rows = warc.read_archives(archive(spark, tmp_path, *given), split).collect()
+        assert sum(r.problem is None for r in rows) == 3 and all(r.payload_bytes == 5000 for r in rows if r.problem is None)
+        assert sum("Content-Length" in (r.problem or "") for r in rows) == sum("doesn't have the digest" in (r.problem or "") for r in rows) == sum("ends within" in (r.problem or "") for r in rows) == 1
+        assert sum(r.problem is not None for r in rows) == 4
+
+
+def test_warc_ranges_are_read_in_many_tasks(spark, tmp_path):
+    good = member(["WARC/1.1", "WARC-Type: resource"], random.Random(3).randbytes(5000))
+    files = archive(spark, tmp_path, *[good] * 40)
+    read = warc.read_archives(files, 10_000)
+    assert read.rdd.getNumPartitions() == math.ceil(files.first().bytes / 10_000) and read.count() == 40
+    assert warc.read_archives(files.limit(0)).count() == 0
+
+
 # quality rules
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import uuid
 import zlib
@@ -19,8 +20,11 @@ MAGIC = b"\x1f\x8b\x08"
 LEAST_REVISIT = 1000
 #: Bytes of an archive that one task looks for record starts in.
 SPLIT = 8 << 20
-#: What of a candidate member is decoded to see whether it may be a record.
-HEADER = 64 << 10
+#: Tasks at most that read archives; a task may have many ranges.
+MOST_TASKS = 20_000
+#: Bytes that are looked at, or decoded, at once.
+BLOCK = 64 << 10
+VERSION = b"WARC/1."
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -84,71 +88,107 @@ def write_archives(rows: DataFrame, folder: str, level: int = 6) -> DataFrame:
     return stage(rows.mapInArrow(batches, "path string, bytes long, records long"))
 
 
-def _members(file, start: int, end: int, size: int) -> Iterator[bytes]:
-    """Whole records, decoded, whose members start in [start, end)."""
-    at, buffer, base = start, b"", start
-    while at < end:
-        if at < base or base + len(buffer) < min(at + HEADER, size):  # keep a header's worth ahead
-            file.seek(at)
-            buffer, base = file.read(min(max(HEADER, end - at), 4 << 20) + HEADER), at
-        found = buffer.find(MAGIC, at - base)
-        if found < 0 or base + found >= end:
-            if base + len(buffer) >= min(end + 2, size):
-                return
-            at = base + len(buffer) - 2
-            continue
-        at = base + found
-        if base + len(buffer) < min(at + HEADER, size):
-            continue
-        unpack = zlib.decompressobj(31)
+class Broken(ValueError):
+    """A member that starts as a record does but can't be decoded or read."""
+
+
+class _File:
+    """Bytes of a file from any place; what lies ahead is read in blocks."""
+
+    def __init__(self, file, size: int, block: int = 1 << 20):
+        self.file, self.size, self.block, self.buffer, self.base = file, size, block, b"", 0
+
+    def at(self, place: int, n: int) -> bytes:
+        n = min(n, self.size - place)
+        if n <= 0:
+            return b""
+        if not self.base <= place <= place + n <= self.base + len(self.buffer):
+            self.file.seek(place)
+            self.buffer, self.base = self.file.read(max(n, self.block)), place
+        return self.buffer[place - self.base : place - self.base + n]
+
+
+def _decoded(file: _File, place: int) -> tuple[bytes, int] | None:
+    """The record whose member starts at a place and where that member ends; None if the bytes there are chance."""
+    unpack, at = zlib.decompressobj(31), place
+    data = file.at(at, BLOCK)
+    at += len(data)
+    try:
+        parts = [unpack.decompress(data, len(VERSION))]
+    except zlib.error:
+        return None
+    if not parts[0].startswith(VERSION):
+        return None
+    data = unpack.unconsumed_tail
+    while not unpack.eof:
+        if not data:
+            data = file.at(at, BLOCK)
+            at += len(data)
+            if not data:
+                raise Broken("the archive ends within the record")
         try:
-            head = unpack.decompress(buffer[found : found + HEADER], HEADER)
-        except zlib.error:
-            at += 1
-            continue
-        if not head.startswith(b"WARC/1."):
-            at += 1
+            parts.append(unpack.decompress(data))
+        except zlib.error as e:
+            raise Broken(str(e)) from e
+        data = b""
+    return b"".join(parts), at - len(unpack.unused_data)
+
+
+def _members(file: _File, start: int, end: int) -> Iterator[tuple[int, bytes | Broken]]:
+    """Place and decoded bytes of every record whose member starts in [start, end)."""
+    at = start
+    while at < end:
+        found = file.at(at, BLOCK).find(MAGIC)
+        if found < 0:
+            at += BLOCK - len(MAGIC) + 1
             continue
-        parts, data, taken = [head], unpack.unconsumed_tail, found + HEADER
+        at += found
+        if at >= end:
+            return
         try:
-            while not unpack.eof:
-                if not data:
-                    if taken < len(buffer):
-                        data, taken = buffer[taken : taken + HEADER], taken + HEADER
-                    else:
-                        file.seek(base + len(buffer))
-                        more = file.read(1 << 20)
-                        if not more:
-                            break
-                        base, buffer, taken, data = base + len(buffer), more, HEADER, more[:HEADER]
-                parts.append(unpack.decompress(data))
-                data = unpack.unconsumed_tail
-        except zlib.error:
-            at += 1
-            continue
-        if not unpack.eof:
-            raise ValueError(f"the archive ends within the record at {at}")
-        data = b"".join(parts)
-        if b"\r\nWARC-Type:" not in data.partition(b"\r\n\r\n")[0] or b"\r\n\r\n" not in data:  # a header may be longer than the window
-            at += 1
-            continue
-        at = base + min(taken, len(buffer)) - len(unpack.unused_data)
-        yield data
+            got = _decoded(file, at)
+        except Broken as e:
+            yield at, e
+            got = None
+        if got:
+            yield at, got[0]
+        at = got[1] if got else at + 1
+
+
+def _sha1(value: str | None) -> str | None:
+    """A labelled SHA-1 in bare lower-case hex, given in hex or, as most archives have it, in base32; None for any other digest."""
+    kind, _, digest = (value or "").strip().partition(":")
+    if kind.lower() != "sha1" or len(digest) not in (32, 40):
+        return None
+    try:
+        return (bytes.fromhex(digest) if len(digest) == 40 else base64.b32decode(digest, casefold=True)).hex()
+    except ValueError:
+        return None
 
 
 def parse_record(data: bytes) -> tuple:
-    """(page id, url, type, payload or None, digest, payload bytes, refers_to) of a decoded record."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    fields = {k.lower(): v for k, _, v in (x.partition(": ") for x in head.decode().split("\r\n")[1:])}
+    """(page id, url, type, payload or None, digest, payload bytes, refers_to) of a decoded record.
+
+    The payload of an HTTP response is what follows its HTTP header, that of any other record its block; a revisit
+    has none, and no size either if its writer didn't note it.  A record without a SHA-1 gets its payload's.
+    """
+    head, gap, rest = data.partition(b"\r\n\r\n")
+    fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])}
+    if not gap or "warc-type" not in fields or not fields.get("content-length", "").isdigit():
+        raise Broken("the header lacks its end, WARC-Type or Content-Length")
     block = rest[: int(fields["content-length"])]
-    kind, digest = fields["warc-type"], fields["warc-payload-digest"].removeprefix("sha1:")
-    if kind == "response":
-        payload = block.partition(b"\r\n\r\n")[2]
-        if hashlib.sha1(payload).hexdigest() != digest:
-            raise ValueError(f"a payload doesn't have the digest {digest}")
-        size = len(payload)
+    if len(block) < int(fields["content-length"]):
+        raise Broken("the block is shorter than Content-Length")
+    kind, digest = fields["warc-type"], _sha1(fields.get("warc-payload-digest"))
+    if kind == "revisit":
+        payload, size = None, int(fields["x-payload-length"]) if fields.get("x-payload-length", "").isdigit() else None
     else:
-        payload, size = None, int(fields["x-payload-length"])
+        http = kind == "response" and fields.get("content-type", "").replace(" ", "").lower().startswith("application/http")
+        payload = block.partition(b"\r\n\r\n")[2] if http else block
+        found = hashlib.sha1(payload).hexdigest()
+        if digest not in (None, found):
+            raise Broken(f"a payload doesn't have the digest {digest}")
+        digest, size = found, len(payload)
     return fields.get("x-page-id"), fields.get("warc-target-uri"), kind, payload, digest, size, fields.get("x-refers-to-page-id")
 
 
@@ -158,13 +198,27 @@ def read_archives(files: DataFrame, split: int = SPLIT, with_payload: bool = Tru
     Every archive is cut into ranges of `split` bytes, a task's work each.  A task looks for the gzip magic
     in its range, takes a place for a member only if a WARC header decodes there, and owns the records that
     start within the range, reading on behind it to end the last one.  So each record is read exactly once
-    wherever the cuts fall, also from archives that were written elsewhere with a member for each record.
+    wherever the cuts fall, however long its header or block, also from archives that were written elsewhere
+    with a member for each record (records of any type, digests in hex or base32).
 
-    Result: page_id, url, record_type, payload (null for a revisit), payload_digest, payload_bytes, refers_to.
+    Result: page_id, url, record_type, payload (null for a revisit), payload_digest, payload_bytes, refers_to,
+    problem.  A member that starts as a record but can't be read is a row with the reason and its place as
+    problem and nulls otherwise; nothing is passed over in silence.  No files, or empty ones: no rows.
     """
     ranges = files.where("bytes > 0").select("path", "bytes", F.explode(F.expr(f"sequence(0L, bytes - 1, {split}L)")).alias("start"))
-    names = ["page_id", "url", "record_type", "payload", "payload_digest", "payload_bytes", "refers_to"]
-    types = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.string()]
+    n = files.agg(F.coalesce(F.sum(F.ceil(F.col("bytes") / split)), F.lit(0))).first()[0]
+    names = ["page_id", "url", "record_type", "payload", "payload_digest", "payload_bytes", "refers_to", "problem"]
+    types = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.string(), pa.int64(), pa.string(), pa.string()]
+    made = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+    def row_of(path: str, at: int, data: bytes | Broken) -> tuple:
+        try:
+            if isinstance(data, Broken):
+                raise data
+            row = parse_record(data)
+        except Broken as e:
+            return *[None] * 7, f"{path} at {at}: {e}"
+        return (*row, None) if with_payload else (*row[:3], None, *row[4:], None)
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -172,18 +226,18 @@ def read_archives(files: DataFrame, split: int = SPLIT, with_payload: bool = Tru
                 where, inner = fs.FileSystem.from_uri(path)
                 rows, held = [], 0
                 with where.open_input_file(inner) as file:
-                    for data in _members(file, start, min(start + split, size), size):
-                        row = parse_record(data)
-                        rows.append(row if with_payload else (*row[:3], None, *row[4:]))
-                        held += len(data) if with_payload else 500
+                    for at, data in _members(_File(file, size), start, min(start + split, size)):
+                        rows.append(row_of(path, at, data))
+                        held += 500 + len(rows[-1][3] or b"")
                         if held > 8 << 20:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                            yield made(rows)
                             rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                    yield made(rows)
 
-    schema = "page_id string, url string, record_type string, payload binary, payload_digest string, payload_bytes long, refers_to string"
-    return ranges.repartition("path", "start").mapInArrow(batches, schema)
+    schema = "page_id string, url string, record_type string, payload binary, payload_digest string, payload_bytes long, refers_to string, problem string"
+    # a given number of tasks: ranges are tiny rows, which adaptive execution would gather in one task
+    return ranges.repartition(max(1, min(n, MOST_TASKS)), "path", "start").mapInArrow(batches, schema)
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", folder: str | None = None, with_payload: bool = True) -> DataFrame:
@@ -196,10 +250,10 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     files = write_archives(with_roles(pages, id_col, url_col, html_col), folder or shared_dir(pages.sparkSession))
     kind = pages.select(id_col).schema[0].dataType
     found = stage(read_archives(files, with_payload=with_payload))
-    written, read = files.agg(F.sum("records")).first()[0] or 0, found.count()
-    if read != written:
-        raise ValueError(f"{written} records were written, {read} read")
-    return found.withColumns({"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
+    written, (read, problem) = files.agg(F.sum("records")).first()[0] or 0, found.agg(F.count("*"), F.min("problem")).first()
+    if problem or read != written:
+        raise ValueError(problem or f"{written} records were written, {read} read")
+    return found.drop("problem").withColumns({"page_id": F.col("page_id").cast(kind), "refers_to": F.col("refers_to").cast(kind)})
 
 
 def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
