@@ -179,7 +179,6 @@ def test_packing(spark, sf):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    t.encode_special_tokens = True
     rows = QUERIES["op3_best_fit_pack"](spark, sf).collect()
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
@@ -207,6 +206,7 @@ def test_packing(spark, sf):
 
 def test_packing_of_awkward_rows(spark):
     texts = [*ODD, (30, "<|endoftext|> don't  'S ²½ „x“ 漢字 ‍ é́ ​"), (31, "\xa0 \x85 a\x1fb\x1c c")]
+    texts = [*texts[:-2], (28, "plain words, then <|endoftext|> and more"), (29, "Ελληνικά и 中文 in one text " * 40), *texts[-2:]]
     df = spark.createDataFrame([(i, t, 1) for i, t in texts], "doc_id long, text string, piece int")
     rows = packing.pack(df, with_ids=True).collect()
     assert Counter(r.doc_id for r in rows if r.piece == 0) == Counter(i for i, _ in texts)
@@ -214,8 +214,8 @@ def test_packing_of_awkward_rows(spark):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    t.encode_special_tokens = True
-    for i, text in texts[-2:]:
+    assert 50256 in t.encode(texts[-2][1], add_special_tokens=False).ids
+    for i, text in texts[-4:]:
         assert [x for r in rows if r.doc_id == i for x in r.ids] == [*t.encode(text, add_special_tokens=False).ids, 0]
     assert packing.pack(df.limit(0)).count() == 0
 
@@ -225,7 +225,6 @@ def test_plain_characters_are_cut_as_the_tokenizer_cuts_them():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
-    t.encode_special_tokens = True
     encode = packing.Encoder(public_tokenizers.path(packing.TOKENIZER), public_tokenizers.path(packing.RANKS))
     chars = [chr(c) for c in [*range(0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F), *range(0x20A0, 0x20B6)]]
     for c in chars:
@@ -280,6 +279,19 @@ def test_reduction_keeps_the_optimum():
         fits(packing.pack_counts(counts, capacity), capacity, counts)
 
 
+def test_packing_work_depends_on_sizes_not_on_items():
+    import time
+
+    took = []
+    for n in (8_000, 8_000_000):
+        counts = [0] * 2049
+        counts[1500] = counts[400] = counts[1100] = counts[700] = n
+        began = time.perf_counter()
+        fits(packing.pack_counts(counts, 2048), 2048, counts)
+        took.append(time.perf_counter() - began)
+    assert max(took) < 0.5
+
+
 def test_best_fit_of_groups_is_best_fit_of_items():
     rng = random.Random(4)
     for _ in range(200):

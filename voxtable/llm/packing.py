@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_broadcast, stage, table
+from .common import stage, table
 
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 CAPACITY, END = 2048, 0
@@ -29,9 +29,10 @@ WORDS = re.compile(
 
 
 class Encoder:
-    """Token ids of whole texts, exactly as the tokenizer file gives them.
+    """Token ids of whole texts, exactly as a plain call of the tokenizer file gives them.
 
-    Words repeat, so a word's ids are kept (up to `words` of them, then afresh); a new word goes through
+    Texts that hold one of its special tokens, or characters beyond the settled ones, go through it whole.
+    In all others words repeat, so a word's ids are kept (up to `words` of them, then afresh); a new word goes through
     the same vocabulary as ranks, which is fast on single words.
     """
 
@@ -42,7 +43,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(tokenizer)
-        self.whole.encode_special_tokens = True
+        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         with open(ranks, "rb") as f:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.word = tiktoken.Encoding("words", pat_str=r"(?s).+", mergeable_ranks=merges, special_tokens={})._encode_single_piece
@@ -53,7 +54,7 @@ class Encoder:
         """Ids of the text, then END; null: END alone."""
         if not text:
             return np.array([END], "<u4")
-        if not PLAIN.fullmatch(text):
+        if not PLAIN.fullmatch(text) or any(x in text for x in self.special):
             return np.array([*self.whole.encode(text, add_special_tokens=False).ids, END], "<u4")
         out: list[int] = []
         known = self.known
@@ -139,7 +140,7 @@ def reduce_dominated(counts: list[int], capacity: int) -> Groups:
             else:
                 n = min(counts[s], counts[k])
                 if k != room:
-                    n = 1  # what fits beside j may change with each item taken
+                    n = max(1, n - 4)  # while more than three of both are left, nothing that was asked above changes
                 fixed.append(([(s, 1), (k, 1)], n))
                 counts[s] -= n
                 counts[k] -= n
@@ -236,7 +237,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     where = slots(pack_counts(counts, capacity))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = stage(by_part.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
-    numbered = cut.join(bounded_broadcast(starts), ["part", "length"]).withColumn("nth", F.col("nth") + F.col("before")).drop("part", "before")
+    numbered = cut.hint("merge").join(starts, ["part", "length"]).withColumn("nth", F.col("nth") + F.col("before")).drop("part", "before")
     out = [id_col, "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.select(*out).schema) + ", sequence_id long, `offset` long"
 
