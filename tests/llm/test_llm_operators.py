@@ -490,6 +490,40 @@ def test_main_text():
     assert html_text.main_text("<p>a < b</p><p>unclosed <i>x") == "a < b\nunclosed x"
 
 
+@pytest.mark.parametrize("kind", ["plain", "title", "nested"])
+def test_density_alone_finds_the_article(kind):
+    """Pages of div only: no element, class or role says what a part is."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("aeioulnrstdm", k=rng.randint(2, 9)))
+    sentence = lambda a=8, b=20: (" ".join(word() for _ in range(rng.randint(a, b))) + ".").capitalize()
+    links = lambda n: "<div>" + "".join(f"<div><a href=/{word()}>{word()} {word()}</a></div>" for _ in range(n)) + "</div>"
+    for _ in range(60):
+        text = [" ".join(sentence() for _ in range(rng.randint(2, 5))) for _ in range(rng.randint(3, 9))]
+        text = [sentence(3, 7), *text] if kind == "title" else text
+        body = "".join(f"<div>{x}</div>" for x in text)
+        body = f"<div>{body}</div>" if kind == "nested" else body
+        foot = f"<div><span>{word()} <a href=/x>{word()}</a></span><span><a href=/y>{word()}</a></span></div>"
+        page = f"<body><div>{links(rng.randint(4, 12))}<div><div>{body}</div>{links(rng.randint(3, 15))}</div>{foot}</div></body>"
+        assert html_text.main_text(page) == "\n".join(text)
+
+
+def test_html_drops_nothing_else():
+    inside = "<p>A <math><mi>x</mi></math> <label>l</label> <object>o</object></p><div class=tags>t</div><div class='share related'>s</div><div class=alert>u</div><p>End of it.</p>"
+    assert html_text.main_text(f"<body><article>{inside}</article><div class=related>Else</div></body>") == "A x l o\nt\ns\nu\nEnd of it."
+    assert html_text.main_text("<table><tr><td>a<td>b<tr><td>c</table>") == "a\nb\nc"
+    assert html_text.main_text("<p title='a > b'>x</p><p data-q=\"1\" hidden>y</p><p title=\"open>z</p>") == "x\nz"
+
+
+@pytest.mark.parametrize("unit", ['<a "', "<i>", '<a ="', "<!", "<!--", "</b", "</b ", "<", "<script>", "</script ", "<p>", "<div>", "<ul><li>", "<a x='\"", "&#"])
+def test_html_work_grows_with_the_page(unit):
+    import time
+
+    for tail in ("", ">", " </i></p>x"):
+        began = time.process_time()
+        html_text.main_text(unit * (400_000 // len(unit)) + tail)
+        assert time.process_time() - began < 6
+
+
 def test_html_table(spark, sf):
     rows = QUERIES["op8_html_text"](spark, sf).collect()
     pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
@@ -502,6 +536,9 @@ def test_html_table(spark, sf):
         assert r.text == "\n".join(x for x in parts if x) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
     df = spark.createDataFrame([(1, None, None, "x"), (1, None, "", "y"), (None, "u", "<p>t</p>", "z")], "page_id long, url string, html string, text string")
     same([tuple(r) for r in html_text.html_text(df).collect()], [(1, None, "", 0), (1, None, "", 0), (None, "u", "t", 1)])
+    assert html_text.html_text(df, keep=("page_id", "text")).columns == ["page_id", "text", "n_chars"] and html_text.html_text(df.limit(0)).count() == 0
+    long = "<body><p>" + "word &amp; " * 300_000 + "</p><p>end</p></body>"
+    assert html_text.html_text(spark.createDataFrame([(1, "u", long)], "page_id long, url string, html string")).first().n_chars == 7 * 300_000 - 1 + 4
 
 
 # SimHash

@@ -5,10 +5,13 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -20,19 +23,21 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 #: Elements that are never part of an article, by name, by role and by word of their class or id.
-DROPPED = frozenset("nav header footer aside form script style noscript template iframe button select textarea input svg math canvas object embed head title dialog menu audio video label".split())
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+DROPPED = frozenset("nav header footer aside form script style noscript template iframe button select textarea input head title dialog menu".split())
+ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar".split())
 JUNK = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|adsense|banner|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|notice|alert|popup|modal|overlay"
-    r"|newsletter|subscribe|subscription|signup|share|sharing|social|related|recommended|recommendations|breadcrumb|breadcrumbs|menu|nav|navbar|navigation|sidebar|side|widget"
-    r"|footer|comment|comments|commentlist|disqus|respond|reply|replies|discussion|paywall|skip|pagination|pager|toolbar|tags|byline-share)(?:$|[\s_-]|\d)"
+    r"(?i)(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|adsense|banner|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|notice|popup|modal|overlay"
+    r"|newsletter|subscribe|subscription|signup|breadcrumb|breadcrumbs|menu|nav|navbar|navigation|sidebar|side|widget"
+    r"|footer|comment|comments|commentlist|disqus|respond|reply|replies|discussion|paywall)(?:$|[\s_-]|\d)"
 )
+#: Words that mark such parts beside an article only; within one they may be its own.
+BESIDE = re.compile(r"(?i)(?:^|[\s_-])(?:alert|share|sharing|social|related|recommended|recommendations|skip|pagination|pager|toolbar|tags)(?:$|[\s_-]|\d)")
 #: Of these an article's own are kept: they hold its title.
 HEADER = re.compile(r"(?i)(?:^|[\s_-])(?:header|masthead)(?:$|[\s_-]|\d)")
 #: These are never junk by their class.
 CONTENT = frozenset("html body article main".split())
 
-#: End tags that the next start tag implies.
+#: End tags that the next start tag implies, up to the innermost of SCOPES that isn't among them.
 CLOSES = {
     "li": frozenset(["li"]), "p": frozenset(["p"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "tr": frozenset(["tr", "td", "th"]),
     "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]),
@@ -40,84 +45,121 @@ CLOSES = {
 CLOSE_P = BLOCK - frozenset(["html", "body", "li", "td", "th", "tr", "dd", "dt", "option", "caption", "tbody", "thead", "tfoot", "summary"])
 SCOPES = frozenset("ul ol table td th article section div main body aside nav header footer form blockquote dl".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTR = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|(hidden)(?=[\s/]|$)")
+#: A tag with its attributes, a quoted value being one after "="; possessive, so that a failure is found in one pass.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=(?!\s*+[\"']))*+)>")
+#: The same where a quote has turned out to stay open to the page's end.
+BARE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
+STARTS = re.compile(r"</?[a-zA-Z]")
+ATTR = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?")
 
 
 class Node:
-    __slots__ = ("name", "junk", "kids", "up", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("name", "junk", "kids", "up", "inside", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, name: str, up: Node | None, junk: bool):
         self.name, self.up, self.junk = name, up, junk
         self.kids: list[Node | str] = []
+        self.inside: bool = name in ("article", "main") or up is not None and up.inside  # an article
 
 
 def _is_junk(name: str, attrs: str, up: Node) -> bool:
     if name in DROPPED:
-        return not (name == "header" and _within_article(up))
+        return not (name == "header" and up.inside)
     if not attrs or name in CONTENT:
         return False
     for m in ATTR.finditer(attrs):
-        key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
+        key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id") and (JUNK.search(value) or HEADER.search(value) and not _within_article(up)):
+        if key in ("class", "id") and (JUNK.search(value) or not up.inside and (HEADER.search(value) or BESIDE.search(value))):
             return True
         if key == "style" and re.search(r"(?i)display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
     return False
 
 
-def _within_article(node: Node | None) -> bool:
-    while node is not None:
-        if node.name in ("article", "main"):
-            return True
-        node = node.up
-    return False
+class _Open:
+    """The open elements, innermost last, and where those of a name lie."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.at = [root], defaultdict(list)
+
+    def push(self, node: Node) -> None:
+        self.at[node.name].append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        """Close the element at a place and all within it."""
+        while len(self.nodes) > place:
+            self.at[self.nodes.pop().name].pop()
+
+    def last(self, names: frozenset[str]) -> int:
+        return max((self.at[x][-1] for x in names if self.at.get(x)), default=0)
 
 
 def parse(page: str) -> Node:
-    """A tree of elements and decoded strings; unclosed and stray tags are mended as browsers roughly do."""
-    root = here = Node("html", None, False)
-    at, n = 0, len(page)
+    """A tree of elements and decoded strings; unclosed and stray tags are mended as browsers roughly do.
+
+    Work grows with the page: no text is looked at again, and no open element is passed over twice.
+    """
+    root = Node("html", None, False)
+    open_ = _Open(root)
+    at, n, last, tag = 0, len(page), page.rfind(">"), TAG
     while at < n:
-        m = TOKEN.search(page, at)
-        if not m:
-            here.kids.append(html.unescape(page[at:]))
+        i = page.find("<", at)
+        if not 0 <= i < last:  # what no ">" follows is text
+            open_.nodes[-1].kids.append(html.unescape(page[at:]))
             break
-        if m.start() > at:
-            here.kids.append(html.unescape(page[at : m.start()]))
-        at, name = m.end(), (m[2] or "").lower()
-        if not name or name == "html":
+        kids = open_.nodes[-1].kids
+        if i > at:
+            kids.append(html.unescape(page[at:i]))
+        if page.startswith("<!--", i):
+            end = page.find("-->", i + 4)
+            at = n if end < 0 else end + 3
+            continue
+        m = tag.match(page, i)
+        if not m and STARTS.match(page, i):
+            tag = BARE_TAG
+            m = tag.match(page, i)
+        if not m:
+            if page[i + 1 : i + 2] in ("!", "?", "/"):
+                at = page.find(">", i) + 1
+            else:
+                kids.append("<")
+                at = i + 1
+            continue
+        at, name = m.end(), m[2].lower()
+        if name == "html":
             continue
         if m[1]:
-            node = here
-            while node is not root and node.name != name:
-                node = node.up
-            if node is not root:
-                here = node.up
+            if open_.at.get(name):
+                open_.close(open_.at[name][-1])
             continue
-        ends = CLOSES.get(name, ())
-        node = here
-        while node is not root and node.name not in SCOPES or ends and node.name in ends:
-            if node.name in ends or node.name == "p" and name in CLOSE_P:
-                here = node.up
-                break
-            node = node.up
+        ends = CLOSES.get(name, frozenset())
+        if name in CLOSE_P:
+            ends = ends | {"p"}
+        while ends and (own := open_.last(ends)) and own > open_.last(SCOPES - ends):
+            open_.close(own)
+        here = open_.nodes[-1]
         if name in VOID:
             here.kids.append(" " if name == "br" else Node(name, here, False))
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            end = _end_of(name).search(page, at)
             at = end.end() if end else n
             continue
         node = Node(name, here, _is_junk(name, m[3], here))
         here.kids.append(node)
         if not m[3].endswith("/") or name not in ("svg", "math"):
-            here = node
+            open_.push(node)
     return root
 
 
+@lru_cache
+def _end_of(name: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*+(?:>|\Z)", re.I)
+
+
 def _measure(root: Node) -> list[Node]:
     """Characters and tags of every subtree, those of links too; the nodes without junk, parents first.
 
@@ -237,9 +279,10 @@ def html_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] =
     the subtree of the greatest sum is the article, widened by the threshold on its path to the body.
 
     Null or empty html: empty text.  Broken markup is mended, never an error; repeated rows, null ids and an
-    empty table need nothing special.
+    empty table need nothing special.  A kept column named text or n_chars gives way to the result's.
     """
-    kept = pages.select(*keep, html_col)
+    keep = tuple(c for c in keep if c not in ("text", "n_chars"))
+    kept = pages.select(*keep, F.col(html_col).alias("vx_html"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema[:-1]) + ", text string, n_chars long"
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
