@@ -5,10 +5,12 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 
@@ -19,32 +21,44 @@ RUN = 5
 
 
 class Text:
-    """One text, its parts worked out when a rule first asks for them."""
+    """One text and what has been found out about it, each part worked out once, when it is first asked for."""
 
     def __init__(self, text: str | None):
         self.text = text or ""
-        self._words: list[bytes] | None = None
 
-    @property
+    @cached_property
     def words(self) -> list[bytes]:
-        if self._words is None:
-            self._words = self.text.encode("utf-8", "surrogatepass").split()  # of bytes: at exactly the six SPACES
-        return self._words
+        return self.text.encode("utf-8", "surrogatepass").split()  # of bytes: at exactly the six SPACES
 
+    @cached_property
+    def n_words(self) -> int:
+        return len(self.words)
 
-def word_chars(t: Text) -> int:
-    return len(t.text) - sum(map(t.text.count, SPACES))
+    @cached_property
+    def word_chars(self) -> int:
+        return len(self.text) - sum(map(self.text.count, SPACES))
 
+    @cached_property
+    def n_symbols(self) -> int:
+        return sum(map(self.text.count, SYMBOLS))
 
-def n_symbols(t: Text) -> int:
-    return sum(map(t.text.count, SYMBOLS))
+    @cached_property
+    def n_dup_lines(self) -> int:
+        if "\n" not in self.text:
+            return 0
+        lines = [x for x in self.text.split("\n") if x.strip(SPACES)]
+        return len(lines) - len(set(lines))
 
+    @cached_property
+    def n_repeat_words(self) -> int:
+        return n_repeat_words(self)
 
-def n_dup_lines(t: Text) -> int:
-    if "\n" not in t.text:
-        return 0
-    lines = [x for x in t.text.split("\n") if x.strip(SPACES)]
-    return len(lines) - len(set(lines))
+    def measured(self) -> list[int]:
+        return [getattr(self, m) for m in METRICS]
+
+
+#: The base metrics, in the result's order.
+METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def n_repeat_words(t: Text) -> int:
@@ -79,21 +93,21 @@ class Rule:
 
 
 def _mean_word(t: Text) -> float:
-    return word_chars(t) / max(1, len(t.words))
+    return t.word_chars / max(1, t.n_words)
 
 
 def _tagged(t: Text) -> float:
     """Share of words that end in a run of marks, as the words of link farms and shouted texts do."""
-    return sum(w[-1:] in b"#*$%&|!~^=" for w in t.words) / max(1, len(t.words))
+    return sum(w[-1:] in b"#*$%&|!~^=" for w in t.words) / max(1, t.n_words)
 
 
 def _stutter(t: Text) -> float:
     """Share of words that are the word before them."""
-    return sum(map(bytes.__eq__, t.words, t.words[1:])) / max(1, len(t.words))
+    return sum(map(bytes.__eq__, t.words, t.words[1:])) / max(1, t.n_words)
 
 
 def _letters(t: Text) -> float:
-    return sum(map(str.isalpha, t.text)) / max(1, word_chars(t))
+    return sum(map(str.isalpha, t.text)) / max(1, t.word_chars)
 
 
 def _shouted(t: Text) -> float:
@@ -104,25 +118,29 @@ def _shouted(t: Text) -> float:
 #: The verdict's own rules; a text is kept if none fails.
 RULES = (
     Rule("mean_word_length", lambda t: not 2 <= _mean_word(t) <= 18),
-    Rule("symbols", lambda t: n_symbols(t) > 0.3 * max(1, len(t.words))),
-    Rule("duplicate_lines", lambda t: n_dup_lines(t) > 0.5 * (t.text.count("\n") + 1)),
+    Rule("symbols", lambda t: t.n_symbols > 0.3 * max(1, t.n_words)),
+    Rule("duplicate_lines", lambda t: t.n_dup_lines > 0.5 * (t.text.count("\n") + 1)),
     Rule("marked_words", lambda t: _tagged(t) > 0.5),
     Rule("stutter", lambda t: _stutter(t) > 0.3),
     Rule("letters", lambda t: _letters(t) < 0.3),
-    Rule("shouting", lambda t: len(t.words) >= 20 and _shouted(t) > 0.7),
+    Rule("shouting", lambda t: t.n_words >= 20 and _shouted(t) > 0.7),
 )
 
 
 def order_rules(rules: tuple[Rule, ...], texts: list[str | None]) -> list[Rule]:
     """The rules by rejections per second on the sample, most first.
 
-    Every rule is timed on every text, on a fresh Text, so that no rule gets another's work for nothing.
+    Each rule is timed on every text, on a Text of its own whose base metrics are there already, as they are
+    when the cascade runs: so a rule costs what it adds, and none gets another's work for nothing.
     The order changes what the cascade costs, never which texts it keeps.
     """
     found = []
     for i, rule in enumerate(rules):
+        ready = [Text(x) for x in texts]
+        for t in ready:
+            t.measured()
         began = time.perf_counter()
-        rejected = sum(rule.fails(Text(x)) for x in texts)
+        rejected = sum(map(rule.fails, ready))
         found.append((-rejected / max(1e-9, time.perf_counter() - began), i, rule))
     return [rule for _, _, rule in sorted(found, key=lambda x: x[:2])]
 
@@ -131,14 +149,11 @@ def passes(rules: list[Rule], t: Text) -> bool:
     return not any(rule.fails(t) for rule in rules)
 
 
-METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-
-
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample: int = 200, least_words: int = 10, most_repeat: int = 20) -> DataFrame:
     """Base metrics of every whole text and the verdict of the cascade.
 
-    Up to `sample` texts are taken to the driver to order the rules (what they cost and reject there sets
-    nothing but the order).  Then each text is read once, row by row, with no shuffle.  The base test comes
+    Up to `sample` texts, those of the smallest hashes of their ids, are taken to the driver to order the rules
+    (what they cost and reject there sets nothing but the order).  Then each text is read once, row by row, with no shuffle.  The base test comes
     first, since its metrics are wanted of every text; the rules run only on texts that pass it, and stop
     at the first that fails.
 
@@ -146,7 +161,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base_failed, kept.  Null text is empty: no words, so base_failed.  Repeated rows, null ids and an
     empty table need nothing special; other columns are ignored.
     """
-    texts = [r[0] for r in docs.select(text_col).limit(sample).collect()]  # for timing only
+    drawn = docs.select(F.col(text_col).alias("t"), F.xxhash64(F.col(id_col).cast("string")).alias("h")).orderBy("h").limit(sample)
+    texts = [r.t for r in drawn.collect()]  # for timing only
     ordered = order_rules(rules, texts)
     fields = [docs.select(id_col).schema[0].dataType, *["long"] * 5, "boolean", "boolean"]
     names = [id_col, *METRICS, "base_failed", "kept"]
@@ -157,7 +173,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             out: list[list] = [[] for _ in range(7)]
             for x in batch.column(1):
                 t = Text(x.as_py())
-                row = [len(t.words), word_chars(t), n_symbols(t), n_dup_lines(t), n_repeat_words(t)]
+                row = t.measured()
                 failed = row[0] < least_words or 100 * row[4] > most_repeat * row[0]
                 for column, value in zip(out, [*row, failed, not failed and passes(ordered, t)], strict=True):
                     column.append(value)
