@@ -195,6 +195,22 @@ def test_contamination_of_awkward_rows(spark):
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0
 
 
+def test_contamination_by_windows_that_share_their_shingles(spark):
+    """10,000 windows have one and the same shingles but for one word, in one pass and in many."""
+    items = [(i, f"q a q a q a q a q a{i}") for i in range(5_000)] + [(10_000 + i, f"b{i} q a q a q a q a q") for i in range(5_000)] + [(50_000, "q a q a q a q a q a")]
+    texts = [(1, "q a " * 400), (2, "x q a q a q a q a q a77 x b4999 q a q a q a q a q"), (3, "q a q a q a q a q"), (4, "q a q a q a q a q a9999"), (5, "q a q a q a q a q a q")]
+    df, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    expected = [(1, 800, 800, ["50000"]), (2, 22, 20, ["14999", "77"]), (3, 9, 0, []), (4, 10, 0, []), (5, 11, 10, ["50000"])]
+    same([(r.doc_id, r.n_words, r.n_hit, str(r["items"])) for r in decontaminate.contaminated(df, bench).collect()], [(a, b, c, str(d)) for a, b, c, d in expected])
+    one_pass = decontaminate.PASS_WINDOWS
+    try:
+        decontaminate.PASS_WINDOWS = 3_000
+        same([(r.doc_id, r.n_words, r.n_hit, str(r["items"])) for r in decontaminate.contaminated(df, bench).collect()], [(a, b, c, str(d)) for a, b, c, d in expected])
+    finally:
+        decontaminate.PASS_WINDOWS = one_pass
+    assert sorted(r.doc_id for r in decontaminate.decontaminated(df, bench).collect()) == [3, 4]
+
+
 # packing
 
 

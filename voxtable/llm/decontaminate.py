@@ -5,103 +5,99 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, bounded_broadcast, rows_with_ids, stage, table
+from .common import ascii_lower, rows_with_ids, scratch, stage, table
 
-#: Fixed value: what a word is, after A-Z are lower-cased.
+#: Fixed value: what a word is, after A-Z are lower-cased; and what lies between words.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 #: Words of a window, and of the shingles that windows and documents are joined on.
 WINDOW, SHINGLE = 10, 3
 
+#: Windows, and bytes of their words, that one pass over the documents looks for.
+PASS_WINDOWS, PASS_BYTES = 250_000, 64 << 20
+
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """All words.  Cutting between words costs a quarter of extracting them; only the ends can be empty."""
+    text = F.coalesce(text, F.lit(""))
+    low = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(ascii_lower(text))  # the same, sooner, for ASCII
+    return F.array_remove(F.split(low, BETWEEN), "")
+
 
+def shingle_key(q: int, word) -> Column:
+    """A number for the q words that word(0), word(1), ... give."""
+    return F.xxhash64(F.lit(q), *[word(i) for i in range(q)])
 
-def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
-    """Each distinct window once: win (a number), len, q (words of its shingles), items, shingles (in order).
 
-    A window shorter than a shingle is one shingle.
+def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """(each distinct window once, its items).
+
+    The first: wid, win (its words), len, key and off, the number and place of its rarest shingle.  A window must
+    be contained whole, all of its shingles with it, so its necessary prefix in the order of rarity is one
+    shingle: that which the fewest windows have, of equal ones the longest, then the first.  A window
+    shorter than a shingle is one shingle.  The second: wid, item, a row for each item of a window.
     """
     words = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"), words_of(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     starts = words.select("item", "w", F.explode(F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))).alias("at"))
-    return (
-        starts.select("item", F.slice("w", F.col("at") + 1, F.lit(window)).alias("win"))
-        .groupBy("win")
-        .agg(F.sort_array(F.collect_set("item")).alias("items"))
-        .select(F.monotonically_increasing_id().alias("id"), F.size("win").alias("len"), "items", "win")
-        .withColumn("q", F.least(F.col("len"), F.lit(shingle)))
-        .select("id", "len", "items", "q", F.expr("transform(sequence(0, len - q), i -> concat_ws(' ', slice(win, i + 1, q)))").alias("shingles"))
-    )
-
-
-def marked(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
-    """doc (a struct of the columns in keep), n_words, n_hit and items of each document.
-
-    1. Texts become rows of words, numbered and written once.
-    2. Shingles of documents meet the shingles of windows in an equi-join; the hits are written.
-    3. Rarity: the hits counted over all documents.  A window must share all of its shingles, so its
-       prefix is one shingle, the rarest; a window with one that no document has drops out.
-    4. Hits on prefix shingles give candidate starts, bounded by position (the window's first word may not
-       lie before the text) and by length (nor its last word behind it).
-    5. A candidate is verified when each of its shingles is a hit at its own place: containment of the
-       item-sized window, word by word, since shingles are joined as text and not by hash.
-
-    The window side is broadcast only when counted to be small; otherwise both sides are shuffled, and
-    adaptive execution splits a common shingle.  Rows are told apart by number: repeated rows and null ids
-    keep their own results.
+    of_items = stage(starts.select("item", F.slice("w", F.col("at") + 1, F.lit(window)).alias("win")).distinct())
+    windows = stage(rows_with_ids(of_items.select("win").distinct(), "wid").withColumn("len", F.size("win")).withColumn("q", F.least(F.col("len"), F.lit(shingle))))
+    token = F.expr("transform(sequence(0, len - q), i -> slice(win, i + 1, q))")
+    shingles = windows.select("wid", "q", F.posexplode(token).alias("off", "token"))
+    seen = shingles.groupBy("token").agg(F.count("*").alias("seen"))
+    first = Window.partitionBy("wid").orderBy("seen", F.desc(F.length(F.array_join("token", " "))), "off")
+    prefix = shingles.join(seen, "token").select("*", F.row_number().over(first).alias("nth")).where("nth = 1")
+    key = F.when(F.col("q") < 0, F.lit(0).cast("long"))
+    for q in range(1, shingle + 1):
+        key = key.when(F.col("q") == q, shingle_key(q, lambda i: F.get("token", F.lit(i))))
+    return stage(prefix.select("wid", "q", "off", key.alias("key")).join(windows.drop("q"), "wid")), stage(of_items.join(windows, "win").select("wid", "item"))
+
+
+def marked(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...], text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """(documents: row, doc, text; those with a hit: row, n_hit, items).  doc is a struct of the columns in keep.
+
+    1. Documents are numbered and written once, so that repeated rows and null ids keep their own results.
+    2. Windows are ordered by their rarest shingle, which is all of them that documents are joined on: each
+       place of a document meets the prefix shingles only, by number.
+    3. A meeting gives a candidate start, bounded by position (the window's first word may not lie before
+       the text) and by length (nor its last word behind it).
+    4. A candidate is verified where it is: the document's words there are the words of a window.  It meets the
+       windows by a number of all of its words, and then word for word, so windows that share their
+       rarest shingle cost no more than others, and a hit is exact.
+
+    The benchmark's windows are sent to the tasks, PASS_WINDOWS of them at most at once; more take
+    another pass over the documents, with the same plan.  Places that only one shingle matches never leave their task.
     """
-    texts = stage(rows_with_ids(docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), words_of(F.col(text_col)).alias("words")), "row").withColumn("n", F.size("words")))
-    windows = stage(item_windows(benchmark, item_col, item_text_col, window, shingle))
-    tokens = stage(windows.select("q", F.explode("shingles").alias("token")).distinct())
-
-    sizes = sorted(r.q for r in tokens.select("q").distinct().collect())  # at most `shingle` values
-    seen = texts.where("false").select("row", F.lit(0).alias("pos"), "n", F.lit(0).alias("q"), F.lit("").alias("token"))
-    for q in sizes:
-        at = texts.where(F.col("n") >= q).select("row", "words", "n", F.explode(F.sequence(F.lit(0), F.col("n") - q)).alias("pos"))
-        token = F.concat_ws(" ", *[F.get("words", F.col("pos") + i) for i in range(q)])
-        seen = seen.unionByName(at.select("row", "pos", "n", F.lit(q).alias("q"), token.alias("token")))
-    hits = stage(seen.join(bounded_broadcast(tokens), ["q", "token"]))
-
-    rarity = hits.groupBy("q", "token").agg(F.count("*").alias("seen"))
-    first = Window.partitionBy("id").orderBy(F.coalesce("seen", F.lit(0)), "off")
-    prefix = stage(
-        windows.select("id", "len", "q", F.posexplode("shingles").alias("off", "token"))
-        .join(rarity, ["q", "token"], "left")
-        .select("*", F.row_number().over(first).alias("nth"))
-        .where("nth = 1 and seen is not null")
-        .groupBy("q", "token")
-        .agg(F.collect_list(F.struct("id", "len", "off")).alias("wins"))
-    )
-    candidates = (
-        hits.join(bounded_broadcast(prefix), ["q", "token"])
-        .select("row", "n", F.explode(F.expr("filter(transform(wins, w -> struct(w.id as id, w.len as len, pos - w.off as start)), w -> w.start >= 0 and w.start + w.len <= n)")).alias("c"))
-        .select("row", "c.*")
-    )
-    shingles = windows.select("id", F.col("q").alias("wq"), "shingles", "items")
-    parts = candidates.join(bounded_broadcast(shingles), "id").select("row", "id", "start", "len", "items", "wq", F.posexplode("shingles").alias("j", "token"))
-    verified = (
-        parts.join(
-            hits.select(F.col("row").alias("h_row"), F.col("pos").alias("h_pos"), F.col("q").alias("h_q"), F.col("token").alias("h_token")),
-            F.expr("row = h_row and start + j = h_pos and wq = h_q and token = h_token"),
-            "left_semi",
-        )
-        .groupBy("row", "id", "start", "len", "wq", "items")
-        .agg(F.count("*").alias("found"))
-        .where("found = len - wq + 1")
-    )
-    result = stage(
-        verified.groupBy("row").agg(
-            F.expr("cast(size(array_distinct(flatten(collect_list(sequence(start, start + len - 1))))) as long)").alias("n_hit"),
-            F.expr("array_sort(array_distinct(flatten(collect_list(items))))").alias("items"),
-        )
-    )
-    return texts.select("row", "doc", "n").join(result, "row", "left").select(
-        "doc",
-        F.col("n").cast("long").alias("n_words"),
-        F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
-        F.coalesce("items", F.expr("cast(array() as array<string>)")).alias("items"),
-    )
+    spark, own = docs.sparkSession, text_col in keep
+    texts = stage(rows_with_ids(docs.select(F.struct(*[F.col(c) for c in keep]).alias("doc"), *([] if own else [F.col(text_col).alias("text")])), "row"))
+    texts = texts.withColumn("text", F.col("doc")[text_col]) if own else texts
+    with scratch(spark) as kept:
+        windows, items = item_windows(benchmark, item_col, item_text_col, window, shingle)
+        n, held = windows.agg(F.count("*"), F.sum(F.octet_length(F.array_join("win", " ")))).first()
+        passes = max(-(-n // PASS_WINDOWS), -(-(held or 0) // PASS_BYTES), 1)
+        sizes = sorted(r.q for r in windows.select("q").distinct().collect())  # at most `shingle` values
+        found = [_found(texts, windows.where(F.pmod("wid", F.lit(passes)) == i), sizes) for i in range(passes)]
+        hits = found[0]
+        for more in found[1:]:
+            hits = hits.unionByName(more)
+        before = F.max(F.col("start") + F.col("len")).over(Window.partitionBy("row").orderBy("start", "len", "wid").rowsBetween(Window.unboundedPreceding, -1))
+        fresh = F.greatest(F.col("start") + F.col("len") - F.greatest("start", F.coalesce(before, F.lit(0))), F.lit(0))
+        n_hit = hits.withColumn("fresh", fresh).groupBy("row").agg(F.sum("fresh").cast("long").alias("n_hit"))
+        which = hits.select("row", "wid").distinct().join(items, "wid").groupBy("row").agg(F.sort_array(F.collect_set("item")).alias("items"))
+        result = stage(n_hit.join(which, "row"), kept)
+    return texts, result
+
+
+def _found(texts: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """row, start, len, wid of every occurrence of the windows."""
+    # outer: of an inner one Spark infers a filter that cuts every text twice; wordless texts get no key
+    at = texts.select("row", words_of(F.col("text")).alias("words")).select("row", "words", F.posexplode_outer("words").alias("pos", "word"))
+    keys = [F.when(F.col("pos") + q <= F.size("words"), shingle_key(q, lambda i: F.get("words", F.col("pos") + i) if i else F.col("word"))) for q in sizes] or [F.lit(None).cast("long")]
+    at = at.withColumn("key", F.explode(F.array(*keys)) if len(keys) > 1 else keys[0])
+    prefix = windows.select("key", "off", "len").distinct()
+    candidates = at.join(F.broadcast(prefix), "key").withColumn("start", F.col("pos") - F.col("off")).where("start >= 0 and start + len <= size(words)")
+    there = candidates.select("row", "start", "len", F.slice("words", F.greatest(F.col("start") + 1, F.lit(1)), F.col("len")).alias("there")).withColumn("number", F.xxhash64("there"))
+    return stage(there.join(F.broadcast(windows.select("wid", "win", F.xxhash64("win").alias("number"))), "number").where("there = win").select("row", "start", "len", "wid"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id",), **columns) -> DataFrame:
@@ -111,12 +107,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] =
     strings).  Null or wordless text: zeros.  A null item id is the item "null"; items with equal ids are
     one item.  An item of no words has no window.  Empty tables give no rows or no hits.  See marked().
     """
-    return marked(docs, benchmark, keep, **columns).select("doc.*", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items")
+    texts, found = marked(docs, benchmark, keep, **columns)
+    rows = texts.select("row", "doc", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    empty = F.expr("cast(array() as array<string>)")
+    return rows.join(found, "row", "left").select("doc.*", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.size(F.coalesce("items", empty)).cast("long").alias("n_items"), F.coalesce("items", empty).alias("items"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
-    """docs without the rows that hold any window of a benchmark item; all columns as they are."""
-    return marked(docs, benchmark, tuple(docs.columns), **columns).where("n_hit = 0").select("doc.*")
+    """docs without the rows that hold any window of a benchmark item; all columns as they are.
+
+    Null, empty and wordless texts hold none and stay; repeated rows stay or go together.
+    """
+    texts, found = marked(docs, benchmark, tuple(docs.columns), **columns)
+    return texts.join(found.select("row"), "row", "left_anti").select("doc.*")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
