@@ -10,12 +10,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import rows_with_ids, stage, table
+from .common import bounded_broadcast, rows_with_ids, scratch, stage, table
 from .components import components
 
 #: Words of a shingle, seed of its hash, differing bits that still link.
 WORDS, SEED, BITS = 4, 42, 4
 
+#: A half of 32 bits that so many fingerprints have is hot: the table values about it are divided by a second segment.
+HOT = 128
+
 #: Runs of equal keys up to this long are compared all at once, longer ones by search from member to member.
 SHORT_RUN = 8
 
@@ -40,7 +43,7 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(2 * bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "vx_fp") -> DataFrame:
+def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "vx_fp", words: int = WORDS) -> DataFrame:
     """docs with a long column of fingerprints, row by row."""
     names = [*docs.columns, out]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{out}` long"
@@ -48,7 +51,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "vx_fp") ->
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            found = np.array([fingerprint(x.as_py()) for x in batch.column(at)], np.uint64).view(np.int64)
+            found = np.array([fingerprint(x.as_py(), words) for x in batch.column(at)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=names)
 
     return docs.mapInArrow(batches, schema)
@@ -73,7 +76,7 @@ def _linked(fps: np.ndarray, bits: int) -> Iterator[tuple[int, int]]:
         todo, left = [left[0]], left[1:]
 
 
-def _edges_of_runs(key: np.ndarray, fp: np.ndarray, bits: int) -> Iterator[tuple[int, int]]:
+def _edges_of_runs(key: np.ndarray, fp: np.ndarray, bits: int, divided: bool) -> Iterator[tuple[int, int]]:
     """Links among fingerprints with equal keys; key is sorted."""
     cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
     length = np.diff(cuts)
@@ -87,6 +90,9 @@ def _edges_of_runs(key: np.ndarray, fp: np.ndarray, bits: int) -> Iterator[tuple
     low = np.uint64(0xFFFFFFFF)
     for k in np.flatnonzero(length > SHORT_RUN):
         run, value = fp[cuts[k] : cuts[k + 1]], key[cuts[k]]
+        if divided:
+            yield from _linked(run, bits)
+            continue
         half = run >> np.uint64(32) if value >> np.uint64(32) else run & low
         if half.min() == half.max() and half[0] != value & low:
             continue  # they all meet again under their own value
@@ -131,30 +137,51 @@ def links(distinct: DataFrame, bits: int = BITS, fp: str = "vx_fp") -> DataFrame
     just when the halves differ in at most 2 bits.  So 66 short rows a fingerprint find every link.  Rows
     of a table value are sorted next to each other; each pair's full distance is verified there, or, where
     many share a value, searched from member to member, so that what is made is a forest and never all pairs.
+
+    A table value can only be long if a half about it is hot, that is, HOT fingerprints have it.  Rows of
+    such values are divided further, so that no task holds them all: of a link's other halves, at most 4
+    bits apart, one quarter of 16 bits differs in at most 2, and balls of 1 bit about the quarters meet.
     """
     low, high = F.col(fp).bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(fp, 32)
     first, bit = F.col("i") < 33, F.expr("i % 33")  # bit 32: none is flipped
     flip = F.expr("case when i % 33 = 32 then 0L else shiftleft(1L, cast(i % 33 as int)) end")
-    key = F.when(first, low.bitwiseXOR(flip)).otherwise(high.bitwiseXOR(flip).bitwiseOR(F.lit(1 << 32)))
+    own = F.when(first, low).otherwise(high.bitwiseOR(F.lit(1 << 32)))
+    entered = distinct.select(fp, F.explode(F.sequence(F.lit(0), F.lit(65))).alias("i"))
     # the other half and the flipped bit are the rest of the fingerprint: short numbers, which compress well
     rest = F.when(first, high).otherwise(low).bitwiseOR(F.shiftleft(bit.cast("long"), 32))
-    entered = distinct.select(fp, F.explode(F.sequence(F.lit(0), F.lit(65))).alias("i")).select(key.alias("key"), rest.alias("rest"))
+    table_rows = entered.select(own.bitwiseXOR(flip).alias("key"), rest.alias("rest"))
+
+    halves = distinct.select(F.explode(F.array(low, high.bitwiseOR(F.lit(1 << 32)))).alias("own")).groupBy("own").agg(F.count("*").alias("n")).where(F.col("n") >= HOT)
+    hot = stage(halves.select(F.explode(F.expr("transform(sequence(0, 32), i -> own ^ if(i = 32, 0L, shiftleft(1L, i)))")).alias("key")).distinct())
+    if hot.isEmpty():
+        return _searched(table_rows, bits, False)
+    hot = bounded_broadcast(hot)
+    whole = entered.select(own.bitwiseXOR(flip).alias("key"), F.when(first, high).otherwise(low).alias("other"), fp).join(hot, "key")
+    second = whole.select("*", F.explode(F.sequence(F.lit(0), F.lit(33))).alias("j"))
+    quarter = F.expr("(shiftrightunsigned(other, 16 * cast(j div 17 as int)) & 65535L) ^ if(j % 17 = 16, 0L, shiftleft(1L, j % 17))")
+    divided = second.select(F.xxhash64("key", F.expr("j div 17"), quarter).alias("key"), F.col(fp).alias("rest"))
+    return _searched(table_rows.join(hot, "key", "left_anti"), bits, False).unionByName(_searched(divided, bits, True))
+
+
+def _searched(entered: DataFrame, bits: int, divided: bool) -> DataFrame:
+    """Edges (hi, lo) among rows (key, rest) of equal keys; rest is the rest of the fingerprint, if divided all of it."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = _Forest()
         held: list[tuple[np.ndarray, np.ndarray]] = []  # rows of the value that the last batch ended in
 
         def edges(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-            new = [(a, b) for a, b in _edges_of_runs(key, fp, bits) if forest.join(a, b)]
+            new = [(a, b) for a, b in _edges_of_runs(key, fp, bits, divided) if forest.join(a, b)]
             pairs = np.array(new, np.uint64).reshape(-1, 2).view(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(pairs.max(axis=1)), pa.array(pairs.min(axis=1))], names=["hi", "lo"])
 
         for batch in it:
-            key, rest = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
-            if not len(key):
+            raw, rest = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(np.uint64)
+            if not len(raw):
                 continue
-            fp = _whole(key, rest)
-            start = int(np.searchsorted(key, key[-1]))
+            key = raw.view(np.uint64)
+            fp = rest if divided else _whole(key, rest)
+            start = int(np.searchsorted(raw, raw[-1]))
             if start == 0 and (not held or held[-1][0][-1] == key[0]):
                 held.append((key, fp))
                 continue
@@ -172,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Equal fingerprints are one node whatever their number, so exact copies cost nothing beyond the first.
     Rows without words, or with null text, have fingerprint zero and are linked like any other.  Null ids
     are passed over when the smallest is taken; a group of null ids only has a null component.  Repeated
-    rows are told apart by vx_row.  An empty table gives no rows.
+    rows are told apart by vx_row.  An empty table gives no rows.  Columns may have any names but vx_row and vx_fp.
     """
     rows = stage(rows_with_ids(fingerprints(docs, text_col), "vx_row"))
     return rows.join(component_of(rows, id_col, bits).drop("vx_root"), "vx_fp")
@@ -180,24 +207,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def component_of(rows: DataFrame, id_col: str, bits: int = BITS) -> DataFrame:
     """vx_fp, vx_root (a fingerprint of its group) and vx_component for every fingerprint of rows."""
-    nodes = stage(rows.groupBy("vx_fp").agg(F.min(id_col).alias("least")))
-    roots = stage(components(stage(links(nodes.select("vx_fp"), bits))))
-    rooted = stage(nodes.join(roots, nodes.vx_fp == roots.node, "left").select("vx_fp", "least", F.coalesce("root", "vx_fp").alias("root")))
-    smallest = stage(rooted.groupBy("root").agg(F.min("least").alias("vx_component")))
-    return stage(rooted.join(smallest, "root").select("vx_fp", F.col("root").alias("vx_root"), "vx_component"))
-
-
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = BITS) -> DataFrame:
-    """docs with one row of each group: the smallest id, of equal ids the first row.
-
-    Rows meet their verdict in a sort-merge join whatever the size, so that a plan that is measured on a
-    small table is the one that a large table gets.
-    """
-    rows = stage(rows_with_ids(fingerprints(docs, text_col), "vx_row"))
-    groups = component_of(rows, id_col, bits)
-    nodes = rows.groupBy("vx_fp").agg(F.expr(f"min(struct(`{id_col}` is null, `{id_col}`, vx_row))").alias("first"))
-    firsts = stage(nodes.join(groups, "vx_fp").groupBy("vx_root").agg(F.min("first").alias("first")).select(F.col("first.vx_row").alias("vx_row")))
-    return rows.hint("merge").join(firsts, "vx_row", "left_semi").drop("vx_row", "vx_fp")
+    with scratch(rows.sparkSession) as kept:
+        nodes = stage(rows.groupBy("vx_fp").agg(F.min(id_col).alias("least")))
+        roots = stage(components(stage(links(nodes.select("vx_fp"), bits))))
+        rooted = stage(nodes.join(roots, nodes.vx_fp == roots.node, "left").select("vx_fp", "least", F.coalesce("root", "vx_fp").alias("root")))
+        smallest = stage(rooted.groupBy("root").agg(F.min("least").alias("vx_component")))
+        return stage(rooted.join(smallest, "root").select("vx_fp", F.col("root").alias("vx_root"), "vx_component"), kept)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
