@@ -808,6 +808,62 @@ def test_masked_lm_tells_rare_words_apart(spark):
     assert all(abs(found[0][w] - x[w]) < 0.05 for x in found[1:] for w in counts)
 
 
+def plain_log_likelihoods(docs, flat, frequent):
+    """By the definition, token by token."""
+    v = masked_lm.views(flat.astype(float))
+    words = [(t or "").translate(LOWER).encode().split() for _, t in docs]
+    counts = Counter(w for own in words for w in own)
+    base, own_id = len(frequent), {w.encode(): i for i, w in enumerate(frequent)}
+    id_of = lambda w: own_id[w] if w in own_id else base + zlib.crc32(w) % (masked_lm.SIZE - base)
+    total = Counter()
+    for w, n in counts.items():
+        total[id_of(w)] += n
+    out = []
+    for own in words:
+        ids, s = [id_of(w) for w in own], 0.0
+        for i, w in enumerate(own):
+            near = [ids[j] if 0 <= j < len(ids) else masked_lm.SIZE for j in (i - 2, i - 1, i + 1, i + 2)]
+            h = np.tanh(sum(v["embed"][c] * v["place"][k] for k, c in enumerate(near)) + v["hidden"])
+            kind, member = divmod(ids[i], masked_lm.MEMBERS)
+            a, b = h @ v["class_w"] + v["class_b"], h @ v["word_w"][kind] + v["word_b"][kind]
+            s += a[kind] - np.log(np.exp(a).sum()) + b[member] - np.log(np.exp(b).sum())
+            s += 0 if w in own_id else math.log(counts[w] / total[ids[i]])
+        out.append(s)
+    return out
+
+
+def test_masked_lm_is_the_plain_sum_and_does_not_depend_on_partitions(spark, sf):
+    docs = [(i, t) for i, t in docs_of(spark, sf)][:60] + [(1000, None), (1001, ""), (1002, "one"), (1003, "Ein Wort zwei")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    shard = masked_lm.SHARD
+    try:
+        masked_lm.SHARD = 4_000  # several networks
+        tokens = sum(len((t or "").split()) for _, t in docs)
+        assert masked_lm.shards_of(tokens) > 3
+        frequent = masked_lm.frequent_words(df)
+        flat = masked_lm.train(df, frequent, shards=masked_lm.shards_of(tokens))
+        plain = dict(zip((i for i, _ in docs), plain_log_likelihoods(docs, flat, frequent), strict=True))
+        for n in (1, 4, 32):
+            found = {r.doc_id: r.log_likelihood for r in masked_lm.pseudo_likelihood(df.repartition(n)).collect()}
+            assert found.keys() == plain.keys() and all(abs(found[i] - x) <= 1e-4 * abs(x) + 1e-6 for i, x in plain.items())
+    finally:
+        masked_lm.SHARD = shard
+
+
+def test_masked_lm_beats_frequencies_on_held_out_documents(spark):
+    """By half a nat a token: what the words beside a word tell."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    frequent = masked_lm.frequent_words(docs.where(~held))
+    net, ids = masked_lm.Network(masked_lm.train(docs.where(~held), frequent)), masked_lm.Ids(frequent)
+    seen = np.ones(masked_lm.SIZE)
+    for r in docs.where(~held).toLocalIterator():
+        seen += np.bincount(masked_lm.encode(r.text, ids), minlength=masked_lm.SIZE)
+    context, target, _ = masked_lm.positions([masked_lm.encode(r.text, ids) for r in docs.where(held).collect()])
+    p = np.concatenate([net.forward(context[a : a + 8192], target[a : a + 8192])[0] for a in range(0, len(target), 8192)])
+    assert p.mean() > np.log(seen / seen.sum())[target].mean() + 0.5
+
+
 def test_gradients_match_differences():
     rng = np.random.default_rng(1)
     flat = masked_lm.initial(3)

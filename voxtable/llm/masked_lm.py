@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER, rows_with_ids, stage, table
 
 #: Frequent words with an id of their own; other words share one of the rest of the ids by hash.
-FREQUENT, CLASSES, MEMBERS = 768, 32, 32
+FREQUENT, CLASSES, MEMBERS = 3072, 64, 64
 SIZE = CLASSES * MEMBERS
 #: Words at most whose counts are sent to every task; the counts of all others are joined.
 SENT = 100_000
 WIDTH, SIDE = 16, 2
-STEP, RATE = 2048, 0.1
+STEP, RATE = 8192, 0.25
 CHUNK = 512
+#: Tokens that one network learns from, and networks at most (beyond them each learns from more).
+SHARD, MOST_SHARDS = 1 << 22, 1 << 14
 #: Tokens that are made into positions at once.
 PART = 1 << 18
 
@@ -153,19 +155,6 @@ def positions(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.stack([line[at + o] for o in offsets], axis=1) if len(at) else np.zeros((0, 2 * SIDE), np.int32), line[at], np.repeat(np.arange(len(texts)), lengths)
 
 
-def _in_parts(column: pa.Array, ids: Ids, most: int = PART) -> Iterator[list[np.ndarray]]:
-    """The texts of a column as ids, in lists of about `most` tokens (a longer text is alone in its list)."""
-    held, n = [], 0
-    for x in column:
-        held.append(encode(x.as_py(), ids))
-        n += len(held[-1])
-        if n >= most:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
-
-
 def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(w, n) for every word of all documents."""
     words = docs.select(F.explode(F.split(F.coalesce(text_col, F.lit("")), r"[\x20\x09-\x0D]+")).alias("w")).where("w != ''")
@@ -200,28 +189,48 @@ def own_logs(counts: DataFrame, frequent: list[str], sent: int = SENT) -> tuple[
     return list(logs), np.fromiter(logs.values(), np.float64, len(logs)), np.log(np.maximum(totals, 1))
 
 
-def train(docs: DataFrame, frequent: list[str], text_col: str = "text", start: np.ndarray | None = None) -> np.ndarray:
+def shards_of(tokens: int) -> int:
+    return max(1, min(MOST_SHARDS, round(tokens / SHARD)))
+
+
+def train(docs: DataFrame, frequent: list[str], text_col: str = "text", id_col: str = "doc_id", shards: int = 1, start: np.ndarray | None = None) -> np.ndarray:
     """One pass over every token of all documents.
 
-    Each task learns on its own documents from the same start; the networks, rows of a table, are averaged by
-    an aggregation, weighted with the tokens that each has seen.  The driver gets one network.
+    Documents are dealt to `shards` networks, each of which learns from its own in one task, from the same start, in
+    the order of a hash of id and text; the networks, rows of a table, are averaged by an aggregation,
+    weighted with the tokens that each has seen.  So the result depends on the documents and not on how
+    the table is divided or ordered; sums are of whole numbers, so that the order of adding changes nothing.
+    The driver gets one network.
     """
     start = initial() if start is None else start
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, ids, seen = Network(start.copy()), Ids(frequent), 0
+        net, ids, seen, held, n = Network(start.copy()), Ids(frequent), 0, [], 0
+
+        def learn() -> None:
+            context, target, _ = positions(held)
+            for at in range(0, len(target), STEP):
+                net.learn(context[at : at + STEP], target[at : at + STEP])
+            held.clear()
+
         for batch in it:
-            for texts in _in_parts(batch.column(0), ids):
-                context, target, _ = positions(texts)
-                for at in range(0, len(target), STEP):
-                    net.learn(context[at : at + STEP], target[at : at + STEP])
-                seen += len(target)
+            for x in batch.column(0):
+                held.append(encode(x.as_py(), ids))
+                n += len(held[-1])
+                if n >= PART:  # counted over documents, never over batches
+                    learn()
+                    seen, n = seen + n, 0
+        learn()
+        seen += n
         if seen:
             chunks = [net.flat[i : i + CHUNK] for i in range(0, LENGTH, CHUNK)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(chunks)), pa.int32()), pa.array([seen] * len(chunks), pa.int64()), pa.array(chunks, pa.list_(pa.float32()))], names=["chunk", "seen", "v"])
 
-    nets = docs.select(text_col).mapInArrow(batches, "chunk int, seen long, v array<float>")
-    mean = nets.select("chunk", "seen", F.posexplode("v").alias("i", "x")).groupBy("chunk", "i").agg((F.sum(F.col("x").cast("double") * F.col("seen")) / F.sum("seen")).alias("x"))
+    order = F.xxhash64(F.col(id_col).cast("string"), text_col)
+    dealt = docs.select(F.col(text_col).alias("t"), order.alias("h")).repartitionById(shards, F.pmod("h", F.lit(shards)).cast("int"))
+    nets = dealt.sortWithinPartitions("h").select("t").mapInArrow(batches, "chunk int, seen long, v array<float>")
+    whole = F.round(F.col("x").cast("double") * 2.0**24).cast("decimal(20, 0)") * F.col("seen").cast("decimal(17, 0)")
+    mean = nets.select("chunk", "seen", F.posexplode("v").alias("i", "x")).groupBy("chunk", "i").agg((F.sum(whole).cast("double") / F.sum("seen") / 2.0**24).alias("x"))
     out = start.copy()
     for r in mean.collect():  # LENGTH rows
         out[r.chunk * CHUNK + r.i] = r.x
@@ -235,14 +244,15 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     without an id of its own has the probability of its hashed id by context times its share of all tokens
     with that id by full counts; so each word of the corpus, however rare, has a probability of its own and
     those of all words sum to one.  The counts of the most frequent words are sent to the tasks, all others
-    are joined: they are rare, so no key of that join is large.
+    are joined: they are rare, so no key of that join is large.  Scores don't depend on how the table is divided.
 
     Result, a row for each input row: id_col, n_tokens, log_likelihood (0.0 without tokens), mean_log_prob
     (null without tokens).  Null text is empty.  Repeated rows get equal scores; an empty table gives no rows.
     """
     counts = stage(word_counts(docs, text_col))
     frequent = most_frequent(counts)
-    flat = train(docs, frequent, text_col)
+    tokens = counts.agg(F.sum("n")).first()[0] or 0
+    flat = train(docs, frequent, text_col, id_col, shards_of(tokens))
     *own, log_totals = own_logs(counts, frequent, sent)
     known = docs.sparkSession.sparkContext.broadcast(own)  # of a bounded size
     kind = docs.select(id_col).schema[0].dataType.simpleString()
