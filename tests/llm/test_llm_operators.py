@@ -62,6 +62,19 @@ def test_shards_of_awkward_rows(spark):
     assert sharding.byte_shards(odd(spark).limit(0)).count() == 0
 
 
+def test_written_shards(spark, tmp_path):
+    sharding.write_shards(odd(spark), f"file://{tmp_path}/s", 4)
+    back = spark.read.parquet(f"file://{tmp_path}/s")
+    assert set(back.columns) == {*odd(spark).columns, "vx_shard"}
+    same([(r.doc_id, r.text) for r in back.collect()], ODD)
+    size = lambda t: len((t or "").encode()) + 1
+    held = Counter()
+    for r in back.collect():
+        held[r.vx_shard] += size(r.text)
+    assert all(abs(held[k] - sum(held.values()) / 4) <= size(LONG) for k in range(4))
+    sharding.write_shards(odd(spark).limit(0), f"file://{tmp_path}/e", 4)
+
+
 # secrets
 
 BASE = (
@@ -758,6 +771,55 @@ def test_quality_model(spark):
     assert quality_model.quality_scores(odd(spark).limit(0), empty).count() == 0
 
 
+def plain_ftrl(rows, bits, alpha=1.0, beta=1.0, l1=0.0, l2=0.5, epochs=3):
+    """Follow the regularised leader over dicts, by its definition."""
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    def score(x):
+        return 1 / (1 + math.exp(-max(-30, min(30, sum(v * weight(i) for i, v in x.items())))))
+
+    for _ in range(epochs):
+        for x, y in rows:
+            p = score(x)
+            w = {i: weight(i) for i in x}
+            for i, v in x.items():
+                g = (p - y) * v
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w[i]
+                n[i] += g * g
+    return score
+
+
+def test_quality_model_is_plain_ftrl(spark, sf):
+    """The scores of all documents of the small table, against a plain learner over dicts on the same rows in the same order."""
+    docs, words = dict(docs_of(spark, sf)), quality_model._Words()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    x = {}
+    for i, t in docs.items():
+        at, value = quality_model.features(t, words)
+        x[i] = dict(zip(at.tolist(), value.astype(np.float32).astype(float).tolist(), strict=True)) | {1 << quality_model.BITS: 1.0}
+    learnt = [i for i in labels if i in docs and zlib.crc32(str(i).encode()) % 3 != 1]
+    df = spark.createDataFrame([(i,) for i in learnt], "i long")
+    order = {r.i: r.h for r in df.select("i", F.xxhash64(F.col("i").cast("string")).alias("h")).collect()}
+    score = plain_ftrl([(x[i], labels[i]) for i in sorted(learnt, key=order.get)], quality_model.BITS)
+    rows = QUERIES["op1_quality_model"](spark, sf).collect()
+    assert len(rows) == len(docs) and all(abs(r.score - score(x[r.doc_id])) < 1e-4 for r in rows)
+
+
+def test_quality_labels_of_all_kinds(spark):
+    """Repeated ids, labels beyond 0 and 1, null ids, labels without a document: the rest decides."""
+    docs = [(i, "good words here" if i % 2 else "bad bad bad") for i in range(40)] + [(7, "good too"), (None, "good words")]
+    labels = [(i, i % 2) for i in range(40)] + [(3, 0), (5, 9), (None, 1), (900, 1), (6, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = quality_model.quality_scores(df, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert len(rows) == len(docs) and all((r.score > 0.5) == bool(r.predicted) for r in rows)
+    assert all(r.predicted == (r.doc_id is None or r.doc_id % 2) for r in rows) and [r.held_out for r in rows if r.doc_id is None] == [True]
+
+
 def test_masked_lm_learns_from_both_sides(spark):
     rng = random.Random(9)
     texts = []

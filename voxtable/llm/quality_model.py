@@ -31,9 +31,9 @@ class _Words(dict):
 
 
 def features(text: str | None, words: _Words, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed words, pairs and triples of the whole text with weights of unit length; empty text: none.
+    """Hashed words and pairs of the whole text, and one count of repeats, with weights of unit length; empty text: none.
 
-    A pair of the same word is one n-gram whatever the word, and triples are those whose outer words are the
+    A pair of the same word is one n-gram whatever the word, and so is any triple whose outer words are the
     same; so repetition is seen in words that no labelled text has.
     """
     tokens = TOKEN.findall(text or "")

@@ -152,8 +152,8 @@ def passes(rules: list[Rule], t: Text) -> bool:
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, sample: int = 200, least_words: int = 10, most_repeat: int = 20) -> DataFrame:
     """Base metrics of every whole text and the verdict of the cascade.
 
-    Up to `sample` texts, those of the smallest hashes of their ids, are taken to the driver to order the rules
-    (what they cost and reject there sets nothing but the order).  Then each text is read once, row by row, with no shuffle.  The base test comes
+    About `sample` texts from all over the table, drawn by a hash of their ids, and 2 * sample at most, are taken to
+    the driver to order the rules (what they cost and reject there sets nothing but the order).  Then each text is read once, row by row, with no shuffle.  The base test comes
     first, since its metrics are wanted of every text; the rules run only on texts that pass it, and stop
     at the first that fails.
 
@@ -161,8 +161,9 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base_failed, kept.  Null text is empty: no words, so base_failed.  Repeated rows, null ids and an
     empty table need nothing special; other columns are ignored.
     """
-    drawn = docs.select(F.col(text_col).alias("t"), F.xxhash64(F.col(id_col).cast("string")).alias("h")).orderBy("h").limit(sample)
-    texts = [r.t for r in drawn.collect()]  # for timing only
+    one_in = max(1, docs.select(id_col).count() // max(1, sample))
+    drawn = docs.where(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(one_in)) == 0).select(text_col).limit(2 * sample)
+    texts = [r[0] for r in drawn.collect()]  # for timing only
     ordered = order_rules(rules, texts)
     fields = [docs.select(id_col).schema[0].dataType, *["long"] * 5, "boolean", "boolean"]
     names = [id_col, *METRICS, "base_failed", "kept"]

@@ -11,6 +11,9 @@ from .common import rows_with_ids, stage, table
 def byte_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Cut the table, in its stored order, into n_shards runs of rows of nearly equal bytes.
 
+    Stored order is that in which Spark reads the rows: by partition, then by place in it.  Sessions that cut the
+    files differently (other split sizes) give other partitions and other cuts; cut a table once and keep the result.
+
     One pass measures every row and writes (partition, position, size).  The totals of the partitions are
     added up in partition order; a row's place on the global byte line is its partition's start plus the
     sizes before it there, and its shard is the equal target that the middle of the row falls into.  So a
@@ -56,10 +59,13 @@ def byte_shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", tex
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 16, text_col: str = "text") -> None:
-    """Write the documents below path, one folder shard=N for each shard, cut as byte_shards() does."""
+    """Write the documents below path, one folder vx_shard=N for each shard, cut as byte_shards() does.
+
+    Columns may have any names but vx_row and vx_shard.  An empty table writes an empty folder.
+    """
     numbered = stage(rows_with_ids(docs, "vx_row"))
-    cut = byte_shards(numbered, n_shards, "vx_row", text_col).select("vx_row", "shard")
-    numbered.join(cut, "vx_row").drop("vx_row").write.partitionBy("shard").parquet(path)
+    cut = byte_shards(numbered, n_shards, "vx_row", text_col).select("vx_row", F.col("shard").alias("vx_shard"))
+    numbered.join(cut, "vx_row").drop("vx_row").write.partitionBy("vx_shard").parquet(path)
 
 
 def op10_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
