@@ -836,7 +836,7 @@ def test_masked_lm_learns_from_both_sides(spark):
 
     def score(words):
         context, target, _ = masked_lm.positions([np.array([ids[w.encode()] for w in words], np.int32)])
-        return float(net.forward(context, target)[0].mean())
+        return float(net.forward(context, target).mean())
 
     assert score("a1 a2 a3 c1 c2 c3 b1 b2 b3".split()) > score("a1 b2 c3 d1 a2 b3 a1 c2 a3".split()) + 0.5
     rows = masked_lm.pseudo_likelihood(odd(spark)).collect()
@@ -921,7 +921,7 @@ def test_masked_lm_beats_frequencies_on_held_out_documents(spark):
     for r in docs.where(~held).toLocalIterator():
         seen += np.bincount(masked_lm.encode(r.text, ids), minlength=masked_lm.SIZE)
     context, target, _ = masked_lm.positions([masked_lm.encode(r.text, ids) for r in docs.where(held).collect()])
-    p = np.concatenate([net.forward(context[a : a + 8192], target[a : a + 8192])[0] for a in range(0, len(target), 8192)])
+    p = np.concatenate([net.forward(context[a : a + 8192], target[a : a + 8192]) for a in range(0, len(target), 8192)])
     assert p.mean() > np.log(seen / seen.sum())[target].mean() + 0.5
 
 
@@ -938,5 +938,5 @@ def test_gradients_match_differences():
         for e in (1e-2, -1e-2):
             moved = masked_lm.Network(flat.copy())
             moved.p[name][at] += e
-            ends.append(-float(moved.forward(context, target)[0].astype(float).mean()))
+            ends.append(-float(moved.forward(context, target).astype(float).mean()))
         assert abs((ends[0] - ends[1]) / 2e-2 - float(got[name][at])) < 2e-3, name

@@ -83,9 +83,10 @@ def encode(text: str | None, ids: Ids) -> np.ndarray:
     return np.fromiter(map(ids.__getitem__, words), np.int32, len(words))
 
 
-def _exp_and_sums(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp of the logits, in place, and the sums of its rows; logits stay within +-60."""
-    np.clip(x, -60, 60, out=x)
+def _exp_and_sums(x: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """exp of the logits, in place, and the sums of its rows; logits that may lie beyond +-60 are cut to it."""
+    if not safe:
+        np.clip(x, -60, 60, out=x)
     np.exp(x, out=x)
     return x, x @ np.ones(x.shape[1], np.float32)
 
@@ -97,30 +98,43 @@ class Network:
         self.seen = np.full(LENGTH, 1e-6, np.float32)  # squared gradients
         self.s = views(self.seen)
 
-    def forward(self, context: np.ndarray, target: np.ndarray) -> tuple:
-        """Log-probabilities of the targets, and what learning needs, in order of the targets' classes."""
-        p, n = self.p, len(target)
-        order = np.argsort(target, kind="stable")
+    def _safe(self) -> bool:
+        """Whether no logit can lie beyond +-60, hidden units being within +-1."""
+        p = self.p
+        most = lambda w, b: float((np.abs(p[w]).sum(axis=-2) + np.abs(p[b])).max())
+        return max(most("class_w", "class_b"), most("word_w", "word_b")) < 60
+
+    def _outputs(self, context: np.ndarray, target: np.ndarray) -> tuple:
+        """What follows from the contexts, in order of the targets' classes."""
+        p, n, safe = self.p, len(target), self._safe()
+        order = np.argsort(target.astype(np.uint16) if SIZE <= 1 << 16 else target, kind="stable")
         context, (kind, member) = context[order], np.divmod(target[order], MEMBERS)
         cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
         parts = p["embed"][context]
         h = np.tanh(np.einsum("njd,jd->nd", parts, p["place"]) + p["hidden"])
-        of_class, class_sum = _exp_and_sums(h @ p["class_w"] + p["class_b"])
+        of_class = _exp_and_sums(h @ p["class_w"] + p["class_b"], safe)
         of_word = np.empty((n, MEMBERS), np.float32)
         for c in range(CLASSES):
             if cuts[c] < cuts[c + 1]:
-                of_word[cuts[c] : cuts[c + 1]] = h[cuts[c] : cuts[c + 1]] @ p["word_w"][c] + p["word_b"][c]
-        of_word, word_sum = _exp_and_sums(of_word)
-        rows = np.arange(n)
-        out = np.empty(n, np.float32)
+                own = of_word[cuts[c] : cuts[c + 1]]
+                np.dot(h[cuts[c] : cuts[c + 1]], p["word_w"][c], out=own)
+                own += p["word_b"][c]
+        return order, context, parts, h, kind, member, cuts, of_class, _exp_and_sums(of_word, safe)
+
+    def forward(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log-probabilities of the targets."""
+        order, _, _, _, kind, member, _, (of_class, class_sum), (of_word, word_sum) = self._outputs(context, target)
+        rows, out = np.arange(len(target)), np.empty(len(target), np.float32)
         out[order] = np.log(of_class[rows, kind] / class_sum) + np.log(of_word[rows, member] / word_sum)
-        return out, (context, parts, h, kind, member, cuts, of_class / (n * class_sum)[:, None], of_word / (n * word_sum)[:, None])
+        return out
 
     def learn(self, context: np.ndarray, target: np.ndarray) -> None:
         """One step of adaptive gradient descent on the mean log-probability of the targets."""
         p, n = self.p, len(target)
-        _, (context, parts, h, kind, member, cuts, dc, dw) = self.forward(context, target)
+        _, context, parts, h, kind, member, cuts, (dc, class_sum), (dw, word_sum) = self._outputs(context, target)
         rows = np.arange(n)
+        dc *= (1 / (n * class_sum))[:, None]
+        dw *= (1 / (n * word_sum))[:, None]
         dc[rows, kind] -= np.float32(1 / n)
         dw[rows, member] -= np.float32(1 / n)
         dh = dc @ p["class_w"].T
@@ -264,7 +278,7 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
         def scores(texts: list[np.ndarray]) -> list[float]:
             context, target, of = positions(texts)
-            p = np.concatenate([net.forward(context[at : at + STEP], target[at : at + STEP])[0] for at in range(0, len(target), STEP)] or [np.zeros(0)])
+            p = np.concatenate([net.forward(context[at : at + STEP], target[at : at + STEP]) for at in range(0, len(target), STEP)] or [np.zeros(0)])
             return np.bincount(of, p - log_totals[target], len(texts)).tolist()
 
         for batch in it:
