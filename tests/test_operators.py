@@ -327,3 +327,122 @@ def test_merge_captions_compares_whole_texts(spark, tmp_path):
             plain.append((conv, float(turn), turn + 0.75, t, c))
     assert len(plain) == 5
     assert rows(QUERIES["merge_captions"](spark, str(tmp_path)), "conv_id", "start_sec", "end_sec", "text_pt", "confidence") == sorted(plain, key=repr)
+
+
+def test_motion_needs_three_samples(spark):
+    """A track of two samples has no signal, so no candidate, however well they would fit."""
+    motion = spark.createDataFrame([("v", "two", 0.0, 1.0), ("v", "two", 2.0, 3.0), ("v", "three", 0.0, 1.0), ("v", "three", 1.0, 0.0), ("v", "three", 2.0, 3.0), ("v", "null", 0.0, 1.0), ("v", "null", 1.0, None), ("v", "null", 2.0, 1.0)], "video_id string, track_key string, t double, v double")
+    signal = plans.motion_signals(motion, 0.2)
+    assert {r.track_key for r in signal.collect()} == {"three"}
+    energy = spark.createDataFrame([("v", i, i * 0.2) for i in range(12)], "video_id string, hop_idx long, rms double")
+    tracks = spark.createDataFrame([("v", k, k, i, 0, i) for i, k in enumerate(("two", "three", "null"))], "video_id string, track_key string, identity string, pos int, shot_id int, track_id int")
+    segments = spark.createDataFrame([("v", 0, 0.0, 2.0)], "video_id string, segment_id int, start_sec double, end_sec double")
+    fragments = plans.heuristic_fragments(segments, signal, energy, tracks, 0.2)
+    assert [(r.track_key, r.n_samples) for r in fragments.collect()] == [("three", 11)]
+
+
+def test_grid_times_are_sums(spark):
+    """Ten steps of 0.2 come to a little less than 2, so an eleventh time lies before the end; times are rounded, sums aren't."""
+    spans = spark.createDataFrame([(1, 0.0, 2.0), (2, 0.0, 0.0), (3, 1.0, 0.5), (4, 7.1, 8.0), (5, 0.0, 60.0)], "k int, start double, end double")
+    found = {k: [] for k in range(1, 6)}
+    for r in sequence.sampling_grid(spans, 0.2).orderBy("k", "t").collect():
+        found[r.k].append(r.t)
+    for k, a, b in ((1, 0.0, 2.0), (2, 0.0, 0.0), (3, 1.0, 0.5), (4, 7.1, 8.0), (5, 0.0, 60.0)):
+        t, plain = a, []
+        while t < b:
+            plain.append(round(t, 3))
+            t += 0.2
+        assert found[k] == plain
+    assert len(found[1]) == 11
+
+
+def test_folds_over_many_small_groups(spark):
+    import random
+
+    rng = random.Random(3)
+    given = [(k, i, rng.random() * 50) for k in range(300) for i in range(rng.randint(1, 9))]
+    df = spark.createDataFrame(rng.sample(given, len(given)), "k long, i long, v double").repartition(5)
+    found = sequence.folded(df, ["k"], ["i"], ["v"], lambda: [0.0], lambda state, v: state.__setitem__(0, state[0] + v) or state[0], "total", "double")
+    total, plain = {}, []
+    for k, i, v in given:
+        total[k] = total.get(k, 0.0) + v
+        plain.append((k, i, v, total[k]))
+    assert sorted(map(tuple, found.collect())) == sorted(plain)
+
+
+def test_nearest_other_across_blocks(spark):
+    import random
+
+    rng = random.Random(4)
+    vectors = [(v, i, i % 3 if v else 0, [rng.uniform(-1, 1) for _ in range(4)]) for v in (0, 1) for i in range(23)]
+    df = spark.createDataFrame(vectors, "video_id long, i long, label long, e array<double>")
+    plain = []
+    for v, i, l, e in vectors:
+        best = max(((sum(map(float.__mul__, e, f)), -j) for w, j, m, f in vectors if w == v and m != l), default=None)
+        if best and best[0] > -1:
+            plain.append((i, -best[1], round(best[0], 3)))
+    for block in (4096, 5):
+        assert sorted((r.i, r.track, r.similarity) for r in cluster.nearest_other(df, ["video_id"], "i", "e", "label", block).collect()) == sorted(plain)
+
+
+def test_excluded_tracks_that_are_still_members(spark):
+    """The identity is looked at first: such a track leaves it and is noted once more; without one it is skipped."""
+    groups, gone, log = corrections.apply_in_order([("a", "p"), ("b", "p")], [], ["a", "a", "x"], ["a"])
+    assert groups == {"p": ["b"]} and gone == ["a", "a"]
+    assert log == ["EXCLUDED a (was p)", "SKIP exclude a: already excluded", "SKIP exclude x: track not found in track_to_identity"]
+    with pytest.raises(corrections.MissingIdentity):
+        corrections.apply_in_order([("a", "p"), ("b", "q")], [("a", "q"), ("b", "p")], [], [])
+    _, _, log = corrections.apply_in_order([("a", "p"), ("b", "q"), ("c", "p")], [("z", "q"), ("a", "p"), ("a", "q")], [], [])
+    assert log == ["SKIP merge z -> q: track not found in track_to_identity", "SKIP merge a -> p: already in that identity", "MERGED a: p -> q"]
+
+
+def test_identity_counts(spark):
+    members = spark.createDataFrame([("v", "a", "p"), ("v", "b", "p"), ("v", "c", "q")], "video_id string, track_key string, identity string")
+    excluded = spark.createDataFrame([("v", "x"), ("w", "y")], "video_id string, track_key string")
+    assert rows(aggregates.identity_counts(members, excluded, ["video_id"]), "video_id", "n_identities", "n_excluded") == [("v", 2, 1), ("w", 0, 1)]
+
+
+def test_tracks_against_a_plain_tracker(spark):
+    """Random boxes: the linked tracks are those of the rule, written out track by track and face by face."""
+    import random
+
+    rng = random.Random(9)
+
+    def iou(a, b):
+        w = max(0, min(a[0] + a[2], b[0] + b[2]) - max(a[0], b[0]))
+        h = max(0, min(a[1] + a[3], b[1] + b[3]) - max(a[1], b[1]))
+        union = a[2] * a[3] + b[2] * b[3] - w * h
+        return w * h / union if union > 0 else 0.0
+
+    given, pos = [], 0
+    for video in range(4):
+        for t in range(60):
+            for _ in range(rng.randint(0, 4)):
+                given.append((video, float(t), pos, [rng.randint(0, 30), rng.randint(0, 20), rng.randint(0, 20), 20]))
+                pos += 1
+    plain = []
+    for video in range(4):
+        live, over, n = [], [], 0
+        for t in sorted({r[1] for r in given if r[0] == video}):
+            faces = [r for r in given if r[0] == video and r[1] == t]
+            used = set()
+            for track in live:
+                scores = [(iou(track["box"], f[3]), -i) for i, f in enumerate(faces) if i not in used]
+                score, i = max(scores, default=(0.0, 0))
+                if score > 0 and score >= 0.3:
+                    used.add(-i)
+                    track["pos"].append(faces[-i][2])
+                    track["box"], track["missed"] = faces[-i][3], 0
+                else:
+                    track["missed"] += 1
+            over += [x for x in live if x["missed"] > 2]
+            live = [x for x in live if x["missed"] <= 2]
+            for i, f in enumerate(faces):
+                if i not in used:
+                    live.append({"id": n, "pos": [f[2]], "box": f[3], "missed": 0})
+                    n += 1
+        for p, track in enumerate(x for x in over + live if len(x["pos"]) >= 3):
+            plain += [(video, at, track["id"], p, k) for k, at in enumerate(track["pos"])]
+    df = spark.createDataFrame(rng.sample(given, len(given)), "video_id long, t double, det_pos long, box array<long>")
+    found = sequence.link_tracks(df, ["video_id"]).select("video_id", "det_pos", "track_id", "track_pos", "nth").collect()
+    assert sorted(map(tuple, found)) == sorted(plain)

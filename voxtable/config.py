@@ -15,6 +15,8 @@ FINAL_STATUSES = ("confident_talknet", "confident_voice_override", "confident_ta
 
 @dataclass(frozen=True)
 class Config:
+    """Fixed values are the defaults: with others, results are other ones."""
+
     # shots and caption segments
     shot_threshold: float = 27.0
     shot_min_frames: int = 8

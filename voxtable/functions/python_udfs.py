@@ -44,11 +44,11 @@ def glyph_components(mask: np.ndarray, heights: tuple[int, int] = (4, 22), area:
 
 
 def glyphs_udf(width: int, heights: tuple[int, int] = (4, 22), area: int = 250):
-    """A function of a flat mask column: struct(n_like, n_total)."""
+    """A function of a flat mask column: struct(n_like, n_total); zeros where there is no mask."""
 
     @F.pandas_udf("n_like int, n_total int")
     def count(mask: pd.Series) -> pd.DataFrame:
-        found = [glyph_components(np.asarray(m).reshape(-1, width), heights, area) for m in mask]
+        found = [glyph_components(np.asarray(m).reshape(-1, width), heights, area) if m is not None else (0, 0) for m in mask]
         return pd.DataFrame(found, columns=["n_like", "n_total"])
 
     return count

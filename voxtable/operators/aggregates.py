@@ -50,3 +50,11 @@ def confident_percent(df: DataFrame, status: str, confident: tuple[str, ...]) ->
 def counts_by_source(df: DataFrame, speaker: str, source: str, sources: list[str]) -> DataFrame:
     """A row for each speaker, a column of counts for each source."""
     return df.groupBy(speaker).agg(*[F.count(F.when(F.col(source) == s, 1)).alias(f"n_{s}") for s in sources])
+
+
+def identity_counts(members: DataFrame, excluded: DataFrame, keys: list[str], identity: str = "identity") -> DataFrame:
+    """keys, n_identities (different ones) and n_excluded of every video that is in either table."""
+    n = members.groupBy(*keys).agg(F.countDistinct(identity).alias("n_identities"))
+    x = excluded.groupBy(*keys).agg(F.count("*").alias("n_excluded"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return n.join(x, keys, "full").select(*keys, zero("n_identities"), zero("n_excluded"))

@@ -78,16 +78,35 @@ def named_clusters(clustered: DataFrame, keys: list[str], item: str, seen: str,
     return clustered.join(names, [*keys, "cluster"])
 
 
-def nearest_other(df: DataFrame, keys: list[str], item: str, vector: str, label: str) -> DataFrame:
+def nearest_other(df: DataFrame, keys: list[str], item: str, vector: str, label: str, block: int = 4096) -> DataFrame:
     """keys, item, track, identity, similarity (3 places): each item's nearest of another label.
 
     Of equal ones the least item; none if there is no other label, or none more alike than -1.
+
+    A video's items are cut into blocks; each pair of blocks is one product of matrices in one task, which gives
+    the best of one block for each item of the other.  So no pair of items becomes a row, and a video of many
+    items is many tasks.
     """
-    a = df.select(*keys, F.col(item).alias(item), F.col(label).alias("vx_label"), F.col(vector).alias("va"))
-    b = df.select(*keys, F.col(item).alias("track"), F.col(label).alias("identity"), F.col(vector).alias("vb"))
-    pairs = a.join(b, keys).where("vx_label != identity").select(*keys, item, "track", "identity", dot("va", "vb").alias("s")).where("s > -1")
-    w = Window.partitionBy(*keys, item).orderBy(F.desc("s"), "track")
-    return pairs.withColumn("nth", F.row_number().over(w)).where("nth = 1").select(*keys, item, "track", "identity", pyround("s", 3).alias("similarity"))
+    by = Window.partitionBy(*keys)
+    cut = df.select(*keys, F.col(item).alias("i"), F.col(label).alias("l"), F.col(vector).alias("v"))
+    cut = cut.withColumn("b", F.floor((F.row_number().over(by.orderBy("i")) - 1) / block).cast("int")).withColumn("n", F.floor((F.count("*").over(by) - 1) / block).cast("int"))
+    sides = cut.withColumn("o", F.explode(F.expr("sequence(0, n)"))).withColumn("s", F.explode(F.array(F.lit(0), F.lit(1))))
+    sides = sides.select(*keys, "i", "l", "v", "s", F.when(F.col("s") == 0, F.col("b")).otherwise(F.col("o")).alias("vx_a"), F.when(F.col("s") == 0, F.col("o")).otherwise(F.col("b")).alias("vx_b"))
+    kinds = {f.name: f.dataType.simpleString() for f in sides.schema}
+    out = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + f", i {kinds['i']}, track {kinds['i']}, identity {kinds['l']}, s double"
+
+    def best(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b = pdf[pdf["s"] == 0], pdf[pdf["s"] == 1].sort_values("i")
+        x, y = (np.array(p["v"].tolist(), float) for p in (a, b))
+        s = x @ y.T
+        s[a["l"].to_numpy()[:, None] == b["l"].to_numpy()[None, :]] = -np.inf
+        at = s.argmax(axis=1)
+        got = a[[*keys, "i"]].assign(track=b["i"].to_numpy()[at], identity=b["l"].to_numpy()[at], s=s[np.arange(len(a)), at])
+        return got[got["s"] > -1]
+
+    pairs = sides.groupBy(*keys, "vx_a", "vx_b").applyInPandas(best, out)
+    first = pairs.groupBy(*keys, "i").agg(F.min(F.struct((-F.col("s")).alias("s"), "track", "identity")).alias("m"))
+    return first.select(*keys, F.col("i").alias(item), "m.track", "m.identity", pyround(-F.col("m.s"), 3).alias("similarity"))
 
 
 def borderline(nearest: DataFrame, labels: DataFrame, keys: list[str], item: str, label: str, least: float = 0.35) -> DataFrame:

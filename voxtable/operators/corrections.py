@@ -18,7 +18,7 @@ class MissingIdentity(ValueError):
 def apply_in_order(members: list[tuple[str, str]], merges: list[tuple[str, str]], excludes: list[str], excluded: list[str]) -> tuple[dict[str, list[str]], list[str], list[str]]:
     """(identity -> tracks, excluded tracks, log) after all merges, then all exclusions, each in order.
 
-    An identity that loses its last track is gone, also as a later target.
+    An identity that loses its last track is gone, also as a later target.  The wording of the log is fixed.
     """
     groups: dict[str, list[str]] = {}
     for track, identity in members:
@@ -35,9 +35,9 @@ def apply_in_order(members: list[tuple[str, str]], merges: list[tuple[str, str]]
 
     for track, target in merges:
         if track not in at:
-            log.append(f"SKIP {track}: not in any identity")
+            log.append(f"SKIP merge {track} -> {target}: track not found in track_to_identity")
         elif at[track] == target:
-            log.append(f"SKIP {track}: already in {target}")
+            log.append(f"SKIP merge {track} -> {target}: already in that identity")
         else:
             source = leave(track)
             if target not in groups:
@@ -46,13 +46,13 @@ def apply_in_order(members: list[tuple[str, str]], merges: list[tuple[str, str]]
             at[track] = target
             log.append(f"MERGED {track}: {source} -> {target}")
     for track in excludes:
-        if track in gone:
-            log.append(f"SKIP {track}: already excluded")
-        elif track not in at:
-            log.append(f"SKIP {track}: not in any identity")
-        else:
-            log.append(f"EXCLUDED {track} from {leave(track)}")
+        if track in at:  # also one that is excluded already, but still a member
+            log.append(f"EXCLUDED {track} (was {leave(track)})")
             gone.append(track)
+        elif track in gone:
+            log.append(f"SKIP exclude {track}: already excluded")
+        else:
+            log.append(f"SKIP exclude {track}: track not found in track_to_identity")
     return groups, gone, log
 
 

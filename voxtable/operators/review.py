@@ -9,8 +9,12 @@ from voxtable.functions.scalars import colour, lane_left, lane_width, or_default
 
 UNCERTAIN = "— uncertain —"
 CAPTION = "Caption"
-#: Colours of speakers, taken in turn.
-PALETTE = ["#4363d8", "#3cb44b", "#e6194b", "#f58231", "#911eb4", "#46f0f0", "#f032e6", "#bcf60c", "#fabebe", "#008080", "#e6beff", "#9a6324", "#800000", "#808000", "#000075", "#ffd8b1"]
+#: Colours of speakers, taken in turn, and that of the uncertain.
+PALETTE = [
+    "#f97066", "#60a5fa", "#fbbf24", "#a78bfa", "#34d399", "#f472b6", "#fb923c", "#38bdf8",
+    "#c084fc", "#4ade80", "#facc15", "#f87171", "#22d3ee", "#e879f9", "#a3e635", "#fb7185",
+]
+GREY = "#565b68"
 
 
 def review_rows(df: DataFrame, source: str, kind: str) -> DataFrame:
@@ -32,13 +36,13 @@ def speakers(rows: DataFrame, source: str = "source", pos: str = "pos") -> DataF
     firsts = rows.where("speaker is not null").groupBy("speaker").agg(F.min(F.struct(source, pos)).alias("vx_first"))
     unsure = F.col("speaker") == UNCERTAIN
     ranked = firsts.withColumn("rank", F.row_number().over(Window.orderBy(unsure, "vx_first")) - 1)
-    return ranked.select("speaker", "rank", colour("rank", PALETTE, unsure).alias("colour"))
+    return ranked.select("speaker", "rank", colour("rank", PALETTE, unsure, GREY).alias("colour"))
 
 
 def lanes(rows: DataFrame) -> DataFrame:
     """rows with left and width in percent of the greatest end over all sources."""
-    total = F.max("end").over(Window.partitionBy())
-    return rows.withColumn("vx_total", total).select(*rows.columns, lane_left("start", "vx_total").alias("left"), lane_width("start", "end", "vx_total").alias("width"))
+    total = rows.agg(F.max("end")).scalar()
+    return rows.select(*rows.columns, lane_left("start", total).alias("left"), lane_width("start", "end", total).alias("width"))
 
 
 def overlay(rows: DataFrame, t: float, pos: str = "pos") -> DataFrame:

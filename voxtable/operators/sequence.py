@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxtable.functions.python_udfs import text_ratio
+from voxtable.functions.scalars import pyround
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str | Column], name: str) -> DataFrame:
@@ -24,29 +26,45 @@ def islands(df: DataFrame, keys: list[str], t: str, gap: float, name: str = "isl
     return df.withColumn("vx_new", new).withColumn(name, F.sum("vx_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("vx_new")
 
 
+def folded(df: DataFrame, keys: list[str], order: list[str], values: list[str], start: Callable[[], list], step: Callable, name: str, kind: str = "long") -> DataFrame:
+    """df with what step(state, *values) gives for each row, in order within the keys, from a state that start() makes.
+
+    Rows are dealt by the keys and sorted there; a task folds over Arrow batches and holds one state, so that
+    thousands of small groups cost no more than one large one, and a large one needs no memory.
+    """
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    names, n = [*df.columns, name], len(keys)
+    at = [df.columns.index(c) for c in (*keys, *values)]
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, last = None, None
+        for batch in it:
+            out = []
+            for row in zip(*(batch.column(i).to_pylist() for i in at), strict=True):
+                if row[:n] != last or state is None:
+                    state, last = start(), row[:n]
+                out.append(step(state, *row[n:]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64() if kind == "double" else pa.int64())], names=names)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(batches, f"{fields}, `{name}` {kind}")
+
+
 def anchored_sessions(df: DataFrame, keys: list[str], order: list[str], same: Callable[[object, object], bool], value: str, present: str, name: str = "session") -> DataFrame:
     """df with session numbers from 0; null where nothing is present.
 
     A session starts where something is present after an absence, or where it is no longer the same as the
     session's *first* value; so slow drift away from the anchor starts a session though neighbours agree.
     """
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        out, now, anchor = [], -1, None
-        open_ = False
-        for on, v in zip(pdf[present], pdf[value], strict=True):
-            if on is None or pd.isna(on) or not on:
-                open_ = False
-                out.append(None)
-                continue
-            if not open_ or not same(anchor, v):
-                now, anchor, open_ = now + 1, v, True
-            out.append(now)
-        return pdf.assign(**{name: pd.array(out, dtype="Int64")})
-
-    return df.groupBy(*keys).applyInPandas(fold, f"{fields}, `{name}` long")
+    def step(state: list, on: bool | None, v: object) -> int | None:
+        if not on:
+            state[2] = False
+            return None
+        if not state[2] or not same(state[1], v):
+            state[:] = state[0] + 1, v, True
+        return state[0]
+
+    return folded(df, keys, order, [present, value], lambda: [-1, None, False], step, name)
 
 
 def masks_alike(least: float = 0.55) -> Callable[[object, object], bool]:
@@ -64,25 +82,41 @@ def shot_cuts(df: DataFrame, keys: list[str], frame: str, score: str, threshold:
     The score of a frame is its change against the frame before.  Frames are numbered without holes; whether
     a cut counts depends on the last one that did, so the fold runs over the few frames with a high score.
     """
-    high = df.where(F.col(score) > threshold).groupBy(*keys).agg(F.sort_array(F.collect_list(frame)).alias("vx_high"))
-    first = df.groupBy(*keys).agg(F.min(frame).alias("vx_first"))
-    cut = F.aggregate(
-        F.coalesce("vx_high", F.array().cast("array<bigint>")),
-        F.array(F.col("vx_first").cast("long")),
-        lambda acc, f: F.when(f - F.element_at(acc, -1) >= least, F.concat(acc, F.array(f.cast("long")))).otherwise(acc),
-    )
-    cuts = first.join(high, keys, "left").select(*keys, cut.alias("vx_cuts"))
-    opened = cuts.select(*keys, F.posexplode("vx_cuts").alias(name, "vx_at"))
+    first = df.groupBy(*keys).agg(F.min(frame).cast("long").alias("vx_at")).withColumn("vx_first", F.lit(True))
+    high = df.where(F.col(score) > threshold).select(*keys, F.col(frame).cast("long").alias("vx_at"), F.lit(False).alias("vx_first"))
+
+    def step(state: list, at: int, opens: bool) -> int | None:
+        if opens or at - state[1] >= least:
+            state[:] = state[0] + 1, at
+            return state[0]
+        return None
+
+    # the first frame comes before a high score of the same frame, which is then too near to it
+    cuts = folded(first.unionByName(high), keys, ["vx_at", F.desc("vx_first")], ["vx_at", "vx_first"], lambda: [-1, 0], step, "vx_shot").where("vx_shot is not null")
+    opened = cuts.select(*keys, F.col("vx_at").alias(frame), F.col("vx_shot").cast("int").alias(name))
     w = Window.partitionBy(*keys).orderBy(frame)
-    marked = df.join(opened.withColumnRenamed("vx_at", frame), [*keys, frame], "left")
+    marked = df.join(opened, [*keys, frame], "left")
     return marked.withColumn(name, F.last(name, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def sampling_grid(spans: DataFrame, step: float, start: str = "start", end: str = "end", name: str = "t") -> DataFrame:
-    """A row for start, start + step, ... as long as it lies before end."""
-    n = F.ceil((F.col(end) - F.col(start)) / step).cast("int")
-    rows = spans.where(F.col(end) > F.col(start)).withColumn("vx_i", F.explode(F.sequence(F.lit(0), n)))
-    return rows.withColumn(name, F.col(start) + F.col("vx_i") * step).where(F.col(name) < F.col(end)).drop("vx_i")
+    """A row for each time from start that lies before end, each `step` after the one before; times to 3 places.
+
+    The times are sums, one step added after another, so where a span ends is decided on what the sum has come to: from
+    0 to 2.0 by 0.2 there are eleven.
+    """
+
+    @F.pandas_udf("array<double>")
+    def times(a: pd.Series, b: pd.Series) -> pd.Series:
+        out = []
+        for lo, hi in zip(a, b, strict=True):
+            n = int((hi - lo) / step) + 3 if lo < hi else 0
+            line = np.add.accumulate(np.concatenate([[lo], np.full(max(0, n - 1), step)]))[:n]
+            out.append(line[line < hi].tolist())
+        return pd.Series(out, dtype=object)
+
+    exact = spans.where(F.col(end) > F.col(start)).withColumn("vx_t", F.explode(times(F.col(start).cast("double"), F.col(end).cast("double"))))
+    return exact.withColumn(name, pyround("vx_t", 3)).drop("vx_t")
 
 
 def until_unreadable(df: DataFrame, keys: list[str], order: str, readable: Column) -> DataFrame:
@@ -107,9 +141,10 @@ def stride_sample(df: DataFrame, keys: list[str], order: list[str], most: int =
 
 def ends_and_middle(df: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
     """first, middle (number n div 2) and last value of each group, and n."""
-    rows = F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-    g = df.groupBy(*keys).agg(rows.alias("vx"))
-    return g.select(*keys, F.get("vx", F.lit(0))["v"].alias("first"), F.get("vx", F.floor(F.size("vx") / 2).cast("int"))["v"].alias("middle"), F.get("vx", F.size("vx") - 1)["v"].alias("last"), F.size("vx").cast("long").alias("n"))
+    w = Window.partitionBy(*keys)
+    rows = df.select(*keys, F.col(value).alias("v"), (F.row_number().over(w.orderBy(order)) - 1).alias("i"), F.count("*").over(w).alias("n"))
+    at = lambda i, name: F.max(F.when(F.col("i") == i, F.col("v"))).alias(name)
+    return rows.groupBy(*keys).agg(at(F.lit(0), "first"), at(F.floor(F.col("n") / 2), "middle"), at(F.col("n") - 1, "last"), F.max("n").alias("n"))
 
 
 def by_first_seen(df: DataFrame, keys: list[str], group: str, seen: str, pos: str, prefix: str = "person_", name: str = "identity") -> DataFrame:
@@ -145,11 +180,13 @@ def merge_near_duplicates(
     return df.groupBy(*keys).applyInPandas(fold, fields)
 
 
-def _iou(a, b) -> float:
-    wide = max(0, min(a[0] + a[2], b[0] + b[2]) - max(a[0], b[0]))
-    high = max(0, min(a[1] + a[3], b[1] + b[3]) - max(a[1], b[1]))
-    union = a[2] * a[3] + b[2] * b[3] - wide * high
-    return wide * high / union if union > 0 else 0.0
+def overlaps(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Intersection over union of every box in a with every box in b; rows are [x, y, w, h]."""
+    a, b = np.asarray(a, float).reshape(-1, 1, 4), np.asarray(b, float).reshape(1, -1, 4)
+    side = np.clip(np.minimum(a[..., :2] + a[..., 2:], b[..., :2] + b[..., 2:]) - np.maximum(a[..., :2], b[..., :2]), 0, None)
+    shared = side.prod(axis=-1)
+    union = a[..., 2:].prod(axis=-1) + b[..., 2:].prod(axis=-1) - shared
+    return np.divide(shared, union, out=np.zeros_like(union), where=union > 0)
 
 
 class Tracker:
@@ -158,27 +195,31 @@ class Tracker:
     def __init__(self, least: float = 0.3, misses: int = 2):
         self.least, self.misses, self.open, self.done, self.next = least, misses, [], [], 0
 
+    def choices(self, boxes: list[list]) -> list[int | None]:
+        """For each open track, oldest first, the free box that overlaps it most (of equal ones the first); None if too little."""
+        table, out = overlaps([t["box"] for t in self.open], boxes), []
+        for row in table if len(boxes) else [()] * len(self.open):
+            best = int(np.argmax(row)) if len(row) else 0
+            enough = len(row) > 0 and row[best] > 0 and row[best] >= self.least
+            out.append(best if enough else None)
+            if enough:
+                table[:, best] = -1
+        return out
+
     def step(self, boxes: list[tuple[object, list]]) -> None:
-        """boxes: (what to remember, [x, y, w, h]).  Older tracks choose first; each takes its best free box."""
-        free = list(range(len(boxes)))
-        still = []
-        for track in self.open:
-            best, score = None, 0.0
-            for i in free:
-                iou = _iou(track["box"], boxes[i][1])
-                if iou > score:
-                    best, score = i, iou
-            if best is not None and score >= self.least:
-                free.remove(best)
-                track["rows"].append(boxes[best][0])
-                track["box"], track["missed"] = boxes[best][1], 0
-            else:
+        """boxes: (what to remember, [x, y, w, h])."""
+        chosen = self.choices([b for _, b in boxes])
+        for track, i in zip(self.open, chosen, strict=True):
+            if i is None:
                 track["missed"] += 1
-            (self.done if track["missed"] > self.misses else still).append(track)
-        for i in free:
-            still.append({"id": self.next, "rows": [boxes[i][0]], "box": boxes[i][1], "missed": 0})
-            self.next += 1
-        self.open = still
+            else:
+                track["rows"].append(boxes[i][0])
+                track["box"], track["missed"] = boxes[i][1], 0
+        fresh = [b for i, b in enumerate(boxes) if i not in set(chosen)]
+        self.done += [t for t in self.open if t["missed"] > self.misses]
+        self.open = [t for t in self.open if t["missed"] <= self.misses]
+        self.open += [{"id": self.next + k, "rows": [what], "box": box, "missed": 0} for k, (what, box) in enumerate(fresh)]
+        self.next += len(fresh)
 
     def tracks(self) -> list[dict]:
         """Finished tracks in the order they ended, then open ones."""

@@ -60,11 +60,15 @@ def median_filter(df: DataFrame, keys: list[str], order: list[str], value: str,
 def rms_hops(df: DataFrame, keys: list[str], order: str, value: str, hop: int = 320, frame: int = 640) -> DataFrame:
     """keys, hop_idx, rms: root mean square of the frame centred on every hop-th sample, zeros beyond the ends.
 
-    order counts the samples from 0.
+    order counts the samples from 0; a frame is an even number of hops.  Squares are summed hop by hop, and a frame
+    adds the sums of its hops: so samples are combined before they are shuffled.
     """
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-(frame // 2), frame // 2 - 1)
-    rows = df.withColumn("rms", F.sqrt(F.sum(F.col(value) * F.col(value)).over(w) / frame))
-    return rows.where(F.col(order) % hop == 0).select(*keys, F.expr(f"`{order}` div {hop}").alias("hop_idx"), "rms")
+    side, odd = divmod(frame, 2 * hop)
+    if odd or not side:
+        raise ValueError("a frame must be an even number of hops")
+    sums = df.groupBy(*keys, F.expr(f"`{order}` div {hop}").alias("hop_idx")).agg(F.sum(F.col(value) * F.col(value)).alias("vx_s"))
+    w = Window.partitionBy(*keys).orderBy("hop_idx").rangeBetween(-side, side - 1)
+    return sums.withColumn("rms", F.sqrt(F.coalesce(F.sum("vx_s").over(w), F.lit(0.0)) / frame)).drop("vx_s")
 
 
 def pearson(a: str, b: str, least: int = 3, flat: float = 1e-8):

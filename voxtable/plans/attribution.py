@@ -26,9 +26,11 @@ def caption_segments(frames: DataFrame, fps: float, config: Config = DEFAULTS, a
     return dense.select("video_id", "segment_id", pyround("start", 2).alias("start_sec"), pyround(F.col("end") + 1 / fps, 2).alias("end_sec"), "mean_density", "n_samples")
 
 
-def motion_signals(motion: DataFrame, step: float) -> DataFrame:
-    """Motion of tracks (video_id, track_key, t, v) on the audio grid."""
-    return signals.interpolate_to_grid(motion, ["video_id", "track_key"], "t", "v", step)
+def motion_signals(motion: DataFrame, step: float, config: Config = DEFAULTS) -> DataFrame:
+    """Motion of tracks (video_id, track_key, t, v) on the audio grid; tracks of too few samples have no signal."""
+    track = ["video_id", "track_key"]
+    enough = filters.having(motion.where("v is not null"), track, config.min_samples)
+    return signals.interpolate_to_grid(enough, track, "t", "v", step)
 
 
 def heuristic_fragments(segments: DataFrame, signal: DataFrame, energy: DataFrame, tracks: DataFrame, step: float, config: Config = DEFAULTS, width: float | None = 10.0) -> DataFrame:

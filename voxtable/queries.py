@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from voxtable.config import Config
 from voxtable.functions import scalars as S
 from voxtable.operators import aggregates, attribution, cluster, corrections, filters, intervals, review, sequence, signals
 from voxtable.plans import attribution as plans
+from voxtable.sources import media
 from voxtable.streaming import stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,14 +67,14 @@ signal AS (SELECT {keys}, hop_idx, (v1 - v0) / (t1 - t0) * (hop_idx * {step} - t
   WHERE hop_idx * {step} >= t0 AND (hop_idx * {step} < t1 OR last AND hop_idx * {step} <= t1))"""
 
 
-def _heuristic_sql(tracks: int) -> str:
+def _heuristic_sql(video: str = "user_id % 10") -> str:
     return f"""
-WITH {EV}, used AS (SELECT * FROM ev WHERE user_id // 10 < {tracks}),
+WITH {EV}, used AS (SELECT * FROM ev QUALIFY count(value) OVER (PARTITION BY user_id) >= 3),
 {_interp_sql("user_id", "used")},
-energy AS (SELECT user_id % 10 AS video_id, sec // {STEP} AS hop_idx, avg(value) AS rms FROM used GROUP BY ALL),
+energy AS (SELECT {video} AS video_id, sec // {STEP} AS hop_idx, avg(value) AS rms FROM ev GROUP BY ALL),
 segments AS (SELECT v.video_id, s.segment_id, s.segment_id * 259200 AS a, (s.segment_id + 1) * 259200 AS b
-  FROM (SELECT DISTINCT user_id % 10 AS video_id FROM events) v, (SELECT unnest(range(10)) AS segment_id) s),
-joint AS (SELECT s.video_id, s.segment_id, x.user_id, x.v, e.rms FROM signal x JOIN energy e ON e.video_id = x.user_id % 10 AND e.hop_idx = x.hop_idx
+  FROM (SELECT DISTINCT {video} AS video_id FROM events) v, (SELECT unnest(range(10)) AS segment_id) s),
+joint AS (SELECT s.video_id, s.segment_id, x.user_id, x.v, e.rms FROM signal x JOIN energy e ON e.video_id = x.{video} AND e.hop_idx = x.hop_idx
   JOIN segments s ON s.video_id = e.video_id AND x.hop_idx * {STEP} BETWEEN s.a AND s.b),
 raw AS (SELECT video_id, segment_id, user_id, count(*) AS n, stddev_pop(v) AS sv, stddev_pop(rms) AS sr, covar_pop(v, rms) AS c FROM joint GROUP BY ALL),
 r0 AS (SELECT *, CASE WHEN sv < 1e-8 OR sr < 1e-8 THEN 0.0 ELSE greatest(-1.0, least(1.0, c / (sv * sr))) END AS r FROM raw WHERE n >= 3),
@@ -86,10 +88,10 @@ decided AS (SELECT s.video_id, s.segment_id, m, r1, who, CASE WHEN m IS NULL THE
 SELECT video_id::BIGINT AS video_id, segment_id::BIGINT AS segment_id, CASE WHEN status LIKE 'assigned%' THEN who END AS assigned_speaker, status, coalesce(m, 0)::BIGINT AS n_candidates, r1 AS correlation FROM decided"""
 
 
-def _heuristic(spark: SparkSession, d: str, tracks: int | None = None) -> DataFrame:
-    used = events(spark, d).withColumn("video_id", F.col("user_id") % 10)
+def _heuristic(spark: SparkSession, d: str, video: str = "user_id % 10") -> DataFrame:
+    used = events(spark, d).withColumn("video_id", F.expr(video).cast("long"))
     videos = used.select("video_id").distinct()
-    used = (used if tracks is None else used.where(F.floor(F.col("user_id") / 10) < tracks)).withColumnRenamed("user_id", "track_key")
+    used = used.withColumnRenamed("user_id", "track_key")
     segments = videos.withColumn("segment_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long")))).select("*", (F.col("segment_id") * 259200.0).alias("start_sec"), ((F.col("segment_id") + 1) * 259200.0).alias("end_sec"))
     energy = used.groupBy("video_id", F.floor(F.col("sec") / STEP).alias("hop_idx")).agg(F.avg("value").alias("rms"))
     signal = plans.motion_signals(used.select("video_id", "track_key", F.col("sec").cast("double").alias("t"), F.col("value").alias("v")), float(STEP))
@@ -99,15 +101,16 @@ def _heuristic(spark: SparkSession, d: str, tracks: int | None = None) -> DataFr
     return out.select("video_id", "segment_id", "assigned_speaker", "status", F.when(F.col("candidates").isNull(), F.lit(0)).otherwise(F.size("candidates")).cast("long").alias("n_candidates"), first.alias("correlation"))
 
 
-@query(_heuristic_sql(1000))
+@query(_heuristic_sql())
 def heuristic_attribution(spark: SparkSession, d: str) -> DataFrame:
-    """All tracks, at every size; the SQL names those of users below 10,000, which the driver's tables don't exceed."""
+    """All tracks of ten videos; many candidates a segment."""
     return _heuristic(spark, d)
 
 
-@query(_heuristic_sql(2))
+@query(_heuristic_sql("user_id // 2"))
 def heuristic_attribution_few_tracks(spark: SparkSession, d: str) -> DataFrame:
-    return _heuristic(spark, d, 2)
+    """All tracks, two a video: none, one or two candidates a segment."""
+    return _heuristic(spark, d, "user_id div 2")
 
 
 @query(f"""
@@ -267,10 +270,12 @@ def shots(spark: SparkSession, d: str) -> DataFrame:
     return cut.groupBy("user_id", F.col("shot_id").cast("long").alias("shot_id")).agg(F.min("frame").alias("start_frame"), (F.max("frame") + 1).alias("end_frame"))
 
 
-@query("SELECT o_orderkey, i::BIGINT AS i, (o_orderkey % 100 + i * 0.25)::DOUBLE AS t FROM orders, LATERAL (SELECT unnest(range(20)) AS i) WHERE i * 0.25 < (o_orderkey % 17) * 0.25")
+@query(f"""WITH RECURSIVE s AS (SELECT o_orderkey, (o_orderkey % 100)::DOUBLE AS a, (o_orderkey % 100)::DOUBLE + (o_orderkey % 17) * 0.2::DOUBLE AS b FROM orders),
+walk AS (SELECT o_orderkey, 0::BIGINT AS i, a AS x, b FROM s WHERE a < b UNION ALL SELECT o_orderkey, i + 1, x + 0.2::DOUBLE, b FROM walk WHERE x + 0.2::DOUBLE < b)
+SELECT o_orderkey, {pr('x', 3)} AS t FROM walk""")
 def sampling_grid(spark: SparkSession, d: str) -> DataFrame:
-    spans = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 100).cast("double").alias("start")).withColumn("end", F.col("start") + (F.col("o_orderkey") % 17) * 0.25)
-    return sequence.sampling_grid(spans, 0.25).select("o_orderkey", ((F.col("t") - F.col("start")) / 0.25).cast("long").alias("i"), "t")
+    spans = table(spark, d, "orders").select("o_orderkey", (F.col("o_orderkey") % 100).cast("double").alias("start")).withColumn("end", F.col("start") + (F.col("o_orderkey") % 17) * F.lit(0.2))
+    return sequence.sampling_grid(spans, 0.2).select("o_orderkey", "t")
 
 
 @query(f"""WITH {EV}, m AS (SELECT *, CASE WHEN event_type = 'view' THEN NULL ELSE value END AS v FROM ev)
@@ -298,24 +303,24 @@ def first_seen_names(spark: SparkSession, d: str) -> DataFrame:
     return sequence.by_first_seen(table(spark, d, "events"), [], "event_type", "ts", "event_id").select("event_type", "identity")
 
 
-@query("""WITH RECURSIVE o AS (SELECT conv_id, turn, substr(role || ' ' || text, 1, 40) AS t, length(text) % 7 AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM (SELECT conv_id, turn, min(role) AS role, min(text) AS text FROM conversations GROUP BY ALL)),
+@query("""WITH RECURSIVE o AS (SELECT conv_id, turn, role || ' ' || text AS t, length(text) % 7 AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM (SELECT conv_id, turn, min(role) AS role, min(text) AS text FROM conversations GROUP BY ALL)),
 walk AS (SELECT conv_id, i, turn AS a, turn AS b, t, c, 0 AS g FROM o WHERE i = 1
 UNION ALL SELECT o.conv_id, o.i, CASE WHEN hit THEN o.wa ELSE o.turn END, o.turn, CASE WHEN hit AND o.c < o.wc THEN o.wt ELSE o.t END, CASE WHEN hit AND o.c < o.wc THEN o.wc ELSE o.c END, CASE WHEN hit THEN o.g ELSE o.g + 1 END
   FROM (SELECT o.*, w.a AS wa, w.t AS wt, w.c AS wc, w.g, o.turn - w.b <= 1 AND 1 - levenshtein(w.t, o.t)::DOUBLE / greatest(length(w.t), length(o.t)) >= 0.25 AS hit FROM walk w JOIN o ON o.conv_id = w.conv_id AND o.i = w.i + 1) o)
 SELECT conv_id, g::BIGINT AS segment_id, first(a) AS start_sec, max(b) AS end_sec, arg_max(t, i) AS text, arg_max(c, i)::BIGINT AS confidence FROM (SELECT *, min(a) OVER (PARTITION BY conv_id, g) FROM walk) GROUP BY conv_id, g""")
 def merge_captions_levenshtein(spark: SparkSession, d: str) -> DataFrame:
     def similarity(a: str, b: str) -> float:
-        p, q = a.encode(), b.encode()  # SQL counts edits of bytes
-        row = list(range(len(q) + 1))
+        p, q = (np.frombuffer(x.encode(), np.uint8) for x in (a, b))  # SQL counts edits of bytes
+        line = np.arange(len(q) + 1)
+        row = line.copy()
         for i, x in enumerate(p, 1):
-            before, row[0] = row[0], i
-            for j, y in enumerate(q, 1):
-                before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+            least = np.minimum(row[1:] + 1, row[:-1] + (q != x))
+            row = np.minimum.accumulate(np.concatenate([[i], least]) - line) + line
         return 1 - row[-1] / max(len(a), len(b))
 
     turns = table(spark, d, "conversations").groupBy("conv_id", "turn").agg(F.min("role").alias("role"), F.min("text").alias("text"))
     rows = turns.select(
-        "conv_id", F.col("turn").alias("start_sec"), F.col("turn").alias("end_sec"), F.col("turn").cast("double").alias("mid_sec"), F.substring(F.concat_ws(" ", "role", "text"), 1, 40).alias("text"), (F.length("text") % 7).cast("long").alias("confidence")
+        "conv_id", F.col("turn").alias("start_sec"), F.col("turn").alias("end_sec"), F.col("turn").cast("double").alias("mid_sec"), F.concat_ws(" ", "role", "text").alias("text"), (F.length("text") % 7).cast("long").alias("confidence")
     )
     merged = sequence.merge_near_duplicates(rows, ["conv_id"], similarity, 1, 0.25, text="text")
     return sequence.numbered(merged, ["conv_id"], ["start_sec", "end_sec"], "segment_id").select("conv_id", "segment_id", "start_sec", "end_sec", "text", "confidence")
@@ -381,14 +386,14 @@ def chunk_ensemble(spark: SparkSession, d: str) -> DataFrame:
     return signals.chunk_scores(rows, ["user_id"], "frame", F.avg("value"), Config().durations, 5).select("user_id", "frame", F.round("score", 6).alias("score"))
 
 
-@query(f"""WITH m AS (SELECT l_suppkey, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_quantity END AS a, CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE l_discount + l_quantity / 1000 END AS b FROM lineitem WHERE l_partkey % 40 < 4),
+@query(f"""WITH m AS (SELECT l_suppkey, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_quantity END AS a, CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE l_discount + l_quantity / 1000 END AS b FROM lineitem),
 g AS (SELECT l_suppkey, count(*) AS n, corr(a, b) AS r, stddev_pop(a) AS sa, stddev_pop(b) AS sb FROM m WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY l_suppkey),
 k AS (SELECT l_suppkey, n, CASE WHEN n < 3 THEN NULL WHEN sa < 1e-8 OR sb < 1e-8 THEN 0.0 ELSE r END AS r FROM g), s AS (SELECT DISTINCT l_suppkey FROM m)
 SELECT l_suppkey, {pr('r', 4)} AS correlation, coalesce(n, 0)::BIGINT AS n_samples FROM s LEFT JOIN k USING (l_suppkey)""")
 def pearson_masked(spark: SparkSession, d: str) -> DataFrame:
     a = F.when(F.col("l_linenumber") % 3 != 0, F.col("l_quantity"))
     b = F.when(F.col("l_partkey") % 4 != 0, F.col("l_discount") + F.col("l_quantity") / 1000)
-    rows = table(spark, d, "lineitem").where("l_partkey % 40 < 4").select("l_suppkey", a.alias("a"), b.alias("b"))
+    rows = table(spark, d, "lineitem").select("l_suppkey", a.alias("a"), b.alias("b"))
     return rows.groupBy("l_suppkey").agg(S.pyround(signals.pearson("a", "b"), 4).alias("correlation"), signals.joint_count("a", "b").alias("n_samples"))
 
 
@@ -464,7 +469,7 @@ def decide_model(spark: SparkSession, d: str) -> DataFrame:
 
 #: Two attributions of documents: the source by one label, the language by the other.
 _SIDES = """h AS (SELECT doc_id, CASE WHEN quality = 1 THEN source END AS who, CASE WHEN quality = 0 THEN 'uncertain_no_confident_face' WHEN doc_id % 3 = 0 THEN 'assigned_single_candidate_low_conf' ELSE 'assigned_single_candidate' END AS status FROM labels JOIN documents USING (doc_id)),
-m AS (SELECT doc_id, CASE WHEN doc_id % 5 != 0 THEN CASE WHEN doc_id % 2 = 0 THEN source ELSE lang END END AS who, CASE WHEN doc_id % 5 = 0 THEN 'uncertain_no_confident_face' WHEN doc_id % 4 = 0 THEN 'assigned_low_confidence' ELSE 'assigned' END AS status FROM documents WHERE doc_id % 7 != 0)"""
+m AS (SELECT doc_id, CASE WHEN doc_id % 5 != 0 THEN CASE WHEN doc_id % 2 = 0 THEN source ELSE lang END END AS who, CASE WHEN doc_id % 5 = 0 THEN 'uncertain_no_confident_face' WHEN doc_id % 4 = 0 THEN 'assigned_low_confidence' ELSE 'assigned' END AS status FROM documents)"""
 
 
 def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -473,7 +478,7 @@ def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
     labelled = docs.join(table(spark, d, "labels").withColumnRenamed("doc_id", "segment_id"), "segment_id")
     h = labelled.select("video_id", "segment_id", F.when(F.col("quality") == 1, F.col("source")).alias("assigned_speaker"), F.when(F.col("quality") == 0, "uncertain_no_confident_face").when(i % 3 == 0, "assigned_single_candidate_low_conf").otherwise("assigned_single_candidate").alias("status"))
     who = F.when(i % 5 != 0, F.when(i % 2 == 0, F.col("source")).otherwise(F.col("lang")))
-    m = docs.where(i % 7 != 0).select("video_id", "segment_id", who.alias("assigned_speaker"), F.when(i % 5 == 0, "uncertain_no_confident_face").when(i % 4 == 0, "assigned_low_confidence").otherwise("assigned").alias("status"))
+    m = docs.select("video_id", "segment_id", who.alias("assigned_speaker"), F.when(i % 5 == 0, "uncertain_no_confident_face").when(i % 4 == 0, "assigned_low_confidence").otherwise("assigned").alias("status"))
     return docs.select("video_id", "segment_id", "start_sec", "end_sec"), h, m
 
 
@@ -494,12 +499,15 @@ def enroll_duration(spark: SparkSession, d: str) -> DataFrame:
 
 
 _COS = "(list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v)) + 1e-8))"
-_VOICES = f"""vec AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), sims AS (SELECT a.vec_id AS segment_id, 'src' || b.vec_id AS identity, {_COS} AS s FROM vec a, vec b WHERE b.vec_id < 20 AND a.vec_id % 3 != 0)"""
+_VOICES = f"""vec AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+own AS (SELECT label, i, avg(x) AS x FROM (SELECT label, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings) GROUP BY ALL),
+profiles AS (SELECT 'src' || label AS identity, list(x ORDER BY i) AS v FROM own GROUP BY label), sims AS (SELECT a.vec_id AS segment_id, b.identity, {_COS} AS s FROM vec a, profiles b)"""
 
 
 def _voices(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    v = table(spark, d, "embeddings").select(F.lit("v").alias("video_id"), "vec_id", "embedding")
-    return v.where("vec_id % 3 != 0").withColumnRenamed("vec_id", "segment_id"), v.where("vec_id < 20").select("video_id", F.concat(F.lit("src"), F.col("vec_id").cast("string")).alias("identity"), "embedding")
+    """All vectors as segments; the mean of each label's clips as a profile."""
+    v = table(spark, d, "embeddings").select(F.lit("v").alias("video_id"), "vec_id", F.concat(F.lit("src"), F.col("label").cast("string")).alias("identity"), "embedding")
+    return v.drop("identity").withColumnRenamed("vec_id", "segment_id"), plans.voice_profiles(v)
 
 
 @query(f"""WITH {_SIDES}, {_VOICES}, top AS (SELECT segment_id, arg_max(identity, s) AS who, max(s) AS s FROM sims GROUP BY segment_id),
@@ -558,21 +566,38 @@ def pairwise_cosine(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select("label", "a", "b", F.round("similarity", 5).alias("similarity"), F.round(S.distance("similarity"), 5).alias("distance"))
 
 
-_NEAR = f"""{_VEC}, g AS (SELECT vec_id, vec_id % 3 AS video_id, label, v FROM vec), p AS (SELECT a.video_id, a.vec_id, b.vec_id AS track, b.label AS identity, list_dot_product(a.v, b.v) AS s FROM g a JOIN g b ON a.video_id = b.video_id AND a.label != b.label),
+def _near(videos: int) -> str:
+    return f"""{_VEC}, g AS (SELECT vec_id, vec_id % {videos} AS video_id, label, v FROM vec), p AS (SELECT a.video_id, a.vec_id, b.vec_id AS track, b.label AS identity, list_dot_product(a.v, b.v) AS s FROM g a JOIN g b ON a.video_id = b.video_id AND a.label != b.label),
 near AS (SELECT vec_id, video_id, track, identity, {pr('s', 3)} AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY video_id, vec_id ORDER BY s DESC, track) AS k FROM p WHERE s > -1) WHERE k = 1)"""
 
 
-@query(f"WITH {_NEAR} SELECT vec_id, track, identity, similarity FROM near")
+def _near_rows(spark: SparkSession, d: str, videos: int) -> tuple[DataFrame, DataFrame]:
+    v = _vectors(spark, d).withColumn("video_id", F.col("vec_id") % videos)
+    return v, cluster.nearest_other(v, ["video_id"], "vec_id", "embedding", "label")
+
+
+@query(f"WITH {_near(3)} SELECT vec_id, track, identity, similarity FROM near")
 def nearest_other(spark: SparkSession, d: str) -> DataFrame:
-    v = _vectors(spark, d).withColumn("video_id", F.col("vec_id") % 3)
-    return cluster.nearest_other(v, ["video_id"], "vec_id", "embedding", "label").select("vec_id", "track", "identity", "similarity")
+    return _near_rows(spark, d, 3)[1].select("vec_id", "track", "identity", "similarity")
+
+
+_ALONE = "alone AS (SELECT video_id, label FROM g GROUP BY ALL HAVING count(*) = 1)"
 
 
-@query(f"WITH {_NEAR}, alone AS (SELECT video_id, label FROM g WHERE vec_id < 40 GROUP BY ALL HAVING count(*) = 1) SELECT vec_id, track, similarity FROM near JOIN (SELECT vec_id, label, video_id FROM g WHERE vec_id < 40) x USING (vec_id, video_id) JOIN alone USING (video_id, label) WHERE similarity >= 0.2")
+@query(f"WITH {_near(50)}, {_ALONE} SELECT vec_id, track, similarity FROM near JOIN g USING (vec_id, video_id) JOIN alone USING (video_id, label) WHERE similarity >= 0.1")
 def borderline(spark: SparkSession, d: str) -> DataFrame:
-    v = _vectors(spark, d).withColumn("video_id", F.col("vec_id") % 3)
-    near = cluster.nearest_other(v, ["video_id"], "vec_id", "embedding", "label")
-    return cluster.borderline(near, v.where("vec_id < 40").select("video_id", "vec_id", "label"), ["video_id"], "vec_id", "label", 0.2).select("vec_id", "track", "similarity")
+    """All clusters of fifty videos, a label being a cluster; those of one vector are of interest."""
+    v, near = _near_rows(spark, d, 50)
+    return cluster.borderline(near, v.select("video_id", "vec_id", "label"), ["video_id"], "vec_id", "label", 0.1).select("vec_id", "track", "similarity")
+
+
+@query(f"WITH {_near(50)}, {_ALONE} SELECT vec_id, track, similarity FROM near JOIN g USING (vec_id, video_id) JOIN alone USING (video_id, label)")
+def pruned_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """Nearest-other rows of tracks that are alone in their identity; those of all others go."""
+    v, near = _near_rows(spark, d, 50)
+    named = lambda df: df.withColumnRenamed("vec_id", "track_key")
+    members = named(v).select("video_id", "track_key", F.col("label").alias("identity"))
+    return corrections.pruned(named(near), members).select(F.col("track_key").alias("vec_id"), "track", "similarity")
 
 
 @query(f"WITH {_VOICES}, k AS (SELECT *, row_number() OVER (PARTITION BY segment_id ORDER BY s DESC, identity) AS nth FROM sims) SELECT segment_id, identity, round(s, 5) AS similarity, nth FROM k WHERE nth <= 3")
@@ -626,13 +651,100 @@ def last_merge_wins(spark: SparkSession, d: str) -> DataFrame:
     return corrections.last_merge_wins(members, fixes.where("action = 'merge'").select("video_id", "seq", "track", "target")).select("video_id", "track_key", "identity")
 
 
-@query()
+@query("""WITH m AS (SELECT 'v' || label AS video_id, 'shot' || label || '_track' || vec_id AS t, vec_id, 'person_' || (vec_id % 9) AS identity FROM embeddings),
+rich AS (SELECT video_id FROM m GROUP BY video_id HAVING count(DISTINCT identity) = 9),
+fix AS (SELECT video_id, vec_id, t, identity, 'person_' || ((vec_id + vec_id % 11) % 9) AS target FROM m WHERE vec_id % 11 <= 2 AND video_id IN (SELECT video_id FROM rich)),
+l AS (SELECT video_id, 0 AS part, vec_id, CASE WHEN identity = target THEN 'SKIP merge ' || t || ' -> ' || target || ': already in that identity' ELSE 'MERGED ' || t || ': ' || identity || ' -> ' || target END AS message FROM fix
+UNION ALL SELECT m.video_id, 1, m.vec_id, 'EXCLUDED ' || m.t || ' (was ' || coalesce(target, m.identity) || ')' FROM m LEFT JOIN fix USING (video_id, vec_id) WHERE m.vec_id % 37 = 0)
+SELECT video_id, row_number() OVER (PARTITION BY video_id ORDER BY part, vec_id) - 1 AS pos, message FROM l""")
 def correction_log(spark: SparkSession, d: str) -> DataFrame:
-    """What each correction did; tests hold the fold against plain lists."""
+    """What each correction did, in order: all merges, then all exclusions."""
     members, fixes = _members(spark, d)
     return corrections.corrected(members, fixes).where("kind = 'log'").select("video_id", "pos", "message")
 
 
+@query("""WITH m AS (SELECT 'v' || label AS video_id, vec_id, 'person_' || (vec_id % 9) AS identity FROM embeddings)
+SELECT video_id, count(DISTINCT identity) AS n_identities, count(*) FILTER (WHERE vec_id % 37 = 0) AS n_excluded FROM m GROUP BY video_id""")
+def identity_counts(spark: SparkSession, d: str) -> DataFrame:
+    members, fixes = _members(spark, d)
+    return aggregates.identity_counts(members, fixes.where("action = 'exclude'"), ["video_id"])
+
+
+@query("""WITH m AS (SELECT 'v' || label AS video_id, 'shot' || label || '_track' || vec_id AS t, vec_id, 'person_' || (vec_id % 9) AS identity FROM embeddings)
+SELECT video_id, identity, array_to_string(list(t ORDER BY vec_id), ',') AS members, count(*) AS n_members FROM m GROUP BY ALL""")
+def identity_members(spark: SparkSession, d: str) -> DataFrame:
+    found = aggregates.members(_members(spark, d)[0], ["video_id", "identity"], "track_key", "member_pos")
+    return found.select("video_id", "identity", F.array_join("members", ",").alias("members"), "n_members")
+
+
+@query("""SELECT 'v' || label AS video_id, string_agg('shot' || label || '_track' || vec_id || '=person_' || (vec_id % 9), ',' ORDER BY 'shot' || label || '_track' || vec_id) AS map FROM embeddings GROUP BY label""")
+def identity_maps(spark: SparkSession, d: str) -> DataFrame:
+    """The document's map from tracks to identities, a row a video."""
+    members = _members(spark, d)[0]
+    near = members.limit(0).select("video_id", "track_key", F.lit("").alias("track"), F.lit("").alias("identity"), F.lit(0.0).alias("similarity"))
+    entries = F.array_sort(F.map_entries("track_to_identity"))
+    return cluster.identity_maps(members, near, ["video_id"]).select("video_id", F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ",").alias("map"))
+
+
+@query("""WITH e AS (SELECT 'v' || vec_id % 3 AS video_id, 'person_' || label AS identity, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings), m AS (SELECT video_id, identity, i, avg(x) AS x FROM e GROUP BY ALL),
+n AS (SELECT video_id, identity, sqrt(sum(x * x)) AS n FROM m GROUP BY ALL) SELECT video_id, identity, i::BIGINT AS i, round(x / n, 5) AS x FROM m JOIN n USING (video_id, identity)""")
+def voice_profiles(spark: SparkSession, d: str) -> DataFrame:
+    clips = table(spark, d, "embeddings").select(F.concat(F.lit("v"), (F.col("vec_id") % 3).cast("string")).alias("video_id"), F.concat(F.lit("person_"), F.col("label").cast("string")).alias("identity"), "embedding")
+    return plans.voice_profiles(clips).select("video_id", "identity", F.posexplode("embedding").alias("i", "x")).select("video_id", "identity", F.col("i").cast("long").alias("i"), F.round("x", 5).alias("x"))
+
+
+@query("SELECT l_suppkey, l_shipdate::DATE::VARCHAR AS day, l_orderkey, l_linenumber::BIGINT AS l_linenumber FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_shipdate::DATE ORDER BY l_orderkey DESC, l_linenumber DESC) = 1")
+def last_wins_by_two(spark: SparkSession, d: str) -> DataFrame:
+    """Of rows with equal pairs of keys the last."""
+    li = table(spark, d, "lineitem").select("l_suppkey", F.col("l_shipdate").cast("date").cast("string").alias("day"), "l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"))
+    return filters.last_wins(li.withColumn("pos", F.struct("l_orderkey", "l_linenumber")), ["l_suppkey", "day"], "pos").drop("pos")
+
+
+@query(f"WITH {EV}, o AS (SELECT *, sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS bad FROM ev) SELECT event_id, user_id FROM o WHERE bad = 0")
+def until_unreadable(spark: SparkSession, d: str) -> DataFrame:
+    """A user's events before the first purchase, which stands for a frame that can't be read."""
+    return sequence.until_unreadable(events(spark, d), ["user_id"], "event_id", F.col("event_type") != "purchase").select("event_id", "user_id")
+
+
+@query(f"""WITH {EV}, v AS (SELECT DISTINCT user_id % 10 AS video_id FROM ev), f AS (SELECT user_id % 10 AS video_id, sec // 8640 AS frame, max(value) AS grey FROM ev GROUP BY ALL),
+t AS (SELECT o_orderkey, o_custkey % 10 AS video_id, (o_orderkey % 2500) / 8.0::DOUBLE AS t FROM orders), w AS (SELECT *, t * (29.97::DOUBLE + video_id) AS x FROM t), n AS (SELECT o_orderkey, video_id, {pr('x', 0)}::BIGINT AS frame FROM w)
+SELECT o_orderkey, n.frame AS frame_idx, grey FROM n LEFT JOIN f ON f.video_id = n.video_id AND f.frame = n.frame""")
+def frames_at(spark: SparkSession, d: str) -> DataFrame:
+    """The frame nearest to each time, null where there is none."""
+    ev = events(spark, d).withColumn("video_id", F.col("user_id") % 10)
+    frames = ev.groupBy("video_id", F.floor(F.col("sec") / 8640).alias("frame_idx")).agg(F.max("value").alias("grey"))
+    video = ev.select("video_id").distinct().withColumn("native_fps", F.lit(29.97) + F.col("video_id"))
+    times = table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 10).alias("video_id"), ((F.col("o_orderkey") % 2500) / F.lit(8.0)).alias("t"))
+    return media.frames_at(times, frames, video).select("o_orderkey", "frame_idx", "grey")
+
+
+@query("SELECT user_id, count(*) AS n_frames, CASE WHEN user_id % 5 > 0 THEN round(count(*) / (user_id % 5)::DOUBLE, 6) END AS duration_sec FROM events GROUP BY user_id")
+def video_meta(spark: SparkSession, d: str) -> DataFrame:
+    """Durations, null where the rate is zero."""
+    v = table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n_frames")).withColumn("native_fps", (F.col("user_id") % 5).cast("double"))
+    return media.video_meta(v).select("user_id", "n_frames", F.round("duration_sec", 6).alias("duration_sec"))
+
+
+@query("""WITH o AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS i FROM events), s AS (SELECT user_id, k, k * 0.7::DOUBLE AS a, k * 0.7::DOUBLE + 1.1::DOUBLE AS b FROM (SELECT DISTINCT user_id FROM events), (SELECT unnest(range(8)) AS k))
+SELECT user_id, k::BIGINT AS k, count(*) AS n, round(sum(value), 4) AS total FROM s JOIN o USING (user_id) WHERE i >= trunc(a * 8)::BIGINT AND i < trunc(b * 8)::BIGINT GROUP BY ALL""")
+def audio_slices(spark: SparkSession, d: str) -> DataFrame:
+    """Samples of each span, from chunks of sixteen."""
+    o = sequence.numbered(table(spark, d, "events"), ["user_id"], ["event_id"], "i")
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("i", "value"))), lambda x: x["value"])
+    chunks = o.groupBy("user_id", F.expr("i div 16").alias("chunk_idx")).agg(parts.alias("samples"))
+    spans = table(spark, d, "events").select("user_id").distinct().withColumn("k", F.explode(F.expr("sequence(0L, 7L)"))).withColumns({"start": F.col("k") * F.lit(0.7), "end": F.col("k") * F.lit(0.7) + F.lit(1.1)})
+    got = intervals.samples_of(spans, chunks, ["user_id"], 8, 16).where(F.size("samples") > 0)
+    return got.select("user_id", "k", F.size("samples").cast("long").alias("n"), F.round(S.array_sum("samples"), 4).alias("total"))
+
+
+@query("SELECT vec_id, round(list_avg(list_transform(range(1, 33), lambda i: (embedding[2 * i - 1]::DOUBLE + embedding[2 * i]::DOUBLE) / 2)), 6) AS mean, round((embedding[1]::DOUBLE + embedding[2]::DOUBLE) / 2, 6) AS first FROM embeddings")
+def downmix(spark: SparkSession, d: str) -> DataFrame:
+    """Two channels a sample, mixed to one."""
+    pairs = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.slice("embedding", 2 * i + 1, F.lit(2)))
+    mixed = table(spark, d, "embeddings").select("vec_id", media.mono(pairs).alias("m"))
+    return mixed.select("vec_id", F.round(S.array_sum("m") / 32, 6).alias("mean"), F.round(F.get("m", F.lit(0)), 6).alias("first"))
+
+
 # scalars
 
 
@@ -686,6 +798,53 @@ def ocr_lines(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("conv_id", "turn", S.line_text(words).alias("line"), S.line_confidence(F.transform(words, lambda w: (F.length(w) - 3 + 0.5 * (F.length(w) > 3).cast("int")).cast("string"))).alias("confidence"))
 
 
+@query(f"""WITH n AS (SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_quantity / 7::DOUBLE AS t, l_quantity / 7::DOUBLE * 29.97::DOUBLE AS f, l_extendedprice / 1000 AS x FROM lineitem)
+SELECT l_orderkey, l_linenumber, (round_even(x * 1000::DOUBLE, 0) / 1000::DOUBLE) AS scaled, {pr('f', 0)}::BIGINT AS frame, trunc(t * 16000)::BIGINT AS sample, (t + x) / 2 AS mid, round(t + 1 / 29.97::DOUBLE, 9) AS longer, round(l_linenumber / 29.97::DOUBLE, 9) AS at FROM n""")
+def time_scalars(spark: SparkSession, d: str) -> DataFrame:
+    t, x, line = F.col("l_quantity") / 7, F.col("l_extendedprice") / 1000, F.col("l_linenumber").cast("long")
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", line.alias("l_linenumber"), S.scaled_round(x, 3).alias("scaled"), S.frame_at(t, F.lit(29.97)).alias("frame"), S.sample_at(t, F.lit(16000)).alias("sample"), S.midpoint(t, x).alias("mid"),
+        F.round(S.extended_end(t, F.lit(29.97)), 9).alias("longer"), F.round(S.frame_time(line, F.lit(29.97)), 9).alias("at"),
+    )
+
+
+@query("""WITH b AS (SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_discount AS f, l_quantity AS q, (l_partkey % 640)::DOUBLE AS lx, (l_suppkey % 360)::DOUBLE AS ly, (l_partkey % 640 + l_quantity)::DOUBLE AS rx, (l_suppkey % 360 + l_linenumber)::DOUBLE AS ry FROM lineitem),
+h AS (SELECT *, greatest(8, abs(rx - lx) * 1.9::DOUBLE / 2) AS half, (lx + rx) / 2 AS cx, (ly + ry) / 2 AS cy FROM b),
+m AS (SELECT *, greatest(0, trunc(cx - half)::INT) AS x0, least(640, trunc(cx + half)::INT) AS x1, greatest(0, trunc(cy - 0.7::DOUBLE * half)::INT) AS y0, least(360, trunc(cy + 0.7::DOUBLE * half)::INT) AS y1 FROM h)
+SELECT l_orderkey, l_linenumber, trunc(f * 640)::INT AS px, trunc(f * 360)::INT AS py, trunc(q / 3)::INT AS whole, CASE WHEN x1 > x0 AND y1 > y0 THEN x0 || ',' || y0 || ',' || x1 || ',' || y1 END AS mouth FROM m""")
+def mouth_boxes(spark: SparkSession, d: str) -> DataFrame:
+    f, q = F.col("l_discount"), F.col("l_quantity")
+    left = F.array((F.col("l_partkey") % 640).cast("double"), (F.col("l_suppkey") % 360).cast("double"))
+    right = F.array((F.col("l_partkey") % 640 + q).cast("double"), (F.col("l_suppkey") % 360 + F.col("l_linenumber")).cast("double"))
+    box = S.fraction_to_pixels(F.array(f, f, f, f), F.lit(640), F.lit(360))
+    return table(spark, d, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.get(box, F.lit(0)).alias("px"), F.get(box, F.lit(1)).alias("py"), F.get(S.int_box(F.array(q / 3)), F.lit(0)).alias("whole"),
+        F.array_join(S.mouth_box(left, right, F.lit(640), F.lit(360)).cast("array<string>"), ",").alias("mouth"),
+    )
+
+
+@query("""SELECT conv_id, turn, substr(text, 1, 40) AS short, ends_with(role, 'user') AS is_user, coalesce(ends_with(CASE WHEN turn % 2 = 0 THEN 'assigned_single_candidate_low_conf' ELSE 'assigned' END, 'low_conf'), false) AS low,
+replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), chr(39), '&#39;') AS escaped, (turn * 3 + 7)::BIGINT AS replaced FROM conversations""")
+def text_scalars(spark: SparkSession, d: str) -> DataFrame:
+    status = F.when(F.col("turn") % 2 == 0, "assigned_single_candidate_low_conf").otherwise("assigned")
+    changed = S.override(F.struct("turn", "role"), turn=F.col("turn") * 3 + 7)
+    return table(spark, d, "conversations").select("conv_id", "turn", S.shortened("text", 40).alias("short"), F.endswith("role", F.lit("user")).alias("is_user"), S.is_low_confidence(status).alias("low"), S.escape_html("text").alias("escaped"), changed["turn"].alias("replaced"))
+
+
+@query("""SELECT a.vec_id, round(list_avg(list_transform(list_zip(a.embedding, b.embedding), lambda z: abs(z[1]::DOUBLE - z[2]::DOUBLE))), 6) AS difference FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""")
+def mean_difference(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "embeddings").select("vec_id", S.doubles("embedding").alias("v"))
+    before = v.select((F.col("vec_id") - 1).alias("vec_id"), F.col("v").alias("w"))
+    return v.join(before, "vec_id").select("vec_id", F.round(S.mean_abs_difference("v", "w"), 6).alias("difference"))
+
+
+@query("""WITH t AS (SELECT o_orderkey, (o_orderkey % 4000)::DOUBLE AS t FROM orders), s AS (SELECT *, CASE WHEN t / 5 <= 12 THEN 5 WHEN t / 10 <= 12 THEN 10 WHEN t / 15 <= 12 THEN 15 WHEN t / 30 <= 12 THEN 30 WHEN t / 60 <= 12 THEN 60 WHEN t / 120 <= 12 THEN 120 WHEN t / 300 <= 12 THEN 300 WHEN t / 600 <= 12 THEN 600 ELSE 900 END AS step FROM t)
+SELECT o_orderkey, array_to_string(list_transform(range(floor(t / step)::BIGINT + 1), lambda i: i * step), ',') AS ticks FROM s""")
+def axis_ticks(spark: SparkSession, d: str) -> DataFrame:
+    ticks = S.axis_ticks((F.col("o_orderkey") % 4000).cast("double"))
+    return table(spark, d, "orders").select("o_orderkey", F.array_join(F.transform(ticks, lambda x: x.cast("long").cast("string")), ",").alias("ticks"))
+
+
 # review
 
 

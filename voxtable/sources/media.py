@@ -12,7 +12,7 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: What outside decoders are to write.
@@ -84,7 +84,7 @@ def video_meta(video: DataFrame) -> DataFrame:
     return video.withColumn("duration_sec", F.when(F.col("native_fps") > 0, F.col("n_frames") / F.col("native_fps")))
 
 
-def mono(channels: str = "channels"):
+def mono(channels: Column | str = "channels") -> Column:
     """Mean of the channels of each sample, from an array of samples, each an array of its channels."""
     mean = lambda s: F.aggregate(s, F.lit(0.0), lambda a, x: a + x.cast("double")) / F.size(s)
     return F.transform(channels, mean)
