@@ -18,7 +18,7 @@ from voxtable.config import Config
 from voxtable.functions import scalars as S
 from voxtable.operators import aggregates, attribution, cluster, corrections, filters, intervals, review, sequence, signals
 from voxtable.plans import attribution as plans
-from voxtable.sources import media
+from voxtable.sources import documents, media
 from voxtable.streaming import stateful
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,14 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A new folder below the one that all executors share; without one, on a local master only, one of this machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base and spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(base or 'file:///tmp/checkpoints').rstrip('/')}/voxtable-queries/{uuid.uuid4().hex}"
+
+
 def pr(x: str, n: int) -> str:
     """Python's round() in SQL, of a column that isn't an expression."""
     s, k = f"1e{n}::DOUBLE", f"floor({x} * 1e{n}::DOUBLE)"
@@ -403,15 +411,51 @@ def pearson_masked(spark: SparkSession, d: str) -> DataFrame:
 @query("""WITH t AS (SELECT max(ts) AS last FROM events) SELECT date_diff('day', TIMESTAMP '2024-01-01', date_trunc('day', ts)) AS day, count(*) AS n, round(sum(value), 4) AS total
 FROM events, t WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= last - INTERVAL 1 HOUR GROUP BY ALL""")
 def stream_daily_windows(spark: SparkSession, d: str) -> DataFrame:
-    """The events as a stream: windows of a day that the watermark has closed.  A row a day comes to the driver."""
+    """The events as a stream: windows of a day that the watermark has closed."""
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     seconds = F.expr("timestampdiff(SECOND, timestamp_ntz'2024-01-01', ts)")  # event time of its own, whatever the session's zone
     source = spark.readStream.schema(schema).parquet(f"{d}/events*.parquet").withColumn("at", F.timestamp_seconds(seconds))
     windows = stateful.windowed(source, "at", "1 hour", "1 day", [], n=F.count("*"), total=F.sum("value"))
-    name = f"windows_{uuid.uuid4().hex}"
-    run = windows.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.table(name).select(F.expr("cast(unix_seconds(window_start) div 86400 as bigint)").alias("day"), "n", F.round("total", 4).alias("total"))
+    rows = stateful.written(windows, new_folder(spark))
+    return rows.select(F.expr("cast(unix_seconds(window_start) div 86400 as bigint)").alias("day"), "n", F.round("total", 4).alias("total"))
+
+
+# documents
+
+
+@query("SELECT 'c' || conv_id AS video_id, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS pos, turn::INT AS segment_id, turn::DOUBLE AS start_sec, role || ' ' || text AS text_pt FROM conversations")
+def document_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Transcripts written as JSON documents, one a conversation, and read back, their lines in order."""
+    turns = table(spark, d, "conversations").select(F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("video_id"), F.col("turn").cast("int").alias("segment_id"), F.col("turn").cast("double").alias("start_sec"), F.concat_ws(" ", "role", "text").alias("text_pt"))
+    folder = new_folder(spark)
+    documents.write_documents(documents.documents(turns, "segment_id", "transcript", ["segment_id", "start_sec", "text_pt"]), folder)
+    back = documents.rows(documents.read(spark, f"{folder}/*/*", "transcript"), "transcript")
+    return back.select("video_id", "pos", "segment_id", "start_sec", "text_pt")
+
+
+@query("""SELECT 'c' || conv_id AS video_id, CASE WHEN conv_id % 3 = 0 THEN 'transcript' WHEN conv_id % 3 = 1 THEN 'assigned' ELSE 'final' END AS kind, turn::DOUBLE AS start,
+CASE WHEN conv_id % 3 > 0 THEN CASE WHEN turn % 2 = 0 THEN role ELSE '— uncertain —' END END AS speaker, CASE WHEN conv_id % 3 = 1 THEN 'assigned' WHEN conv_id % 3 = 2 THEN 'not_confident' END AS status FROM conversations""")
+def review_dispatch(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of three kinds, told apart by their shape, as rows of the review page."""
+    turns = table(spark, d, "conversations").select("conv_id", F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("video_id"), F.col("turn").cast("int").alias("segment_id"), F.col("turn").cast("double").alias("start_sec"), F.col("turn").cast("double").alias("end_sec"), F.col("text").alias("text_pt"), F.when(F.col("turn") % 2 == 0, F.col("role")).alias("who"))
+    folder, times = new_folder(spark), ["segment_id", "start_sec", "end_sec", "text_pt"]
+    kinds = (
+        (turns, "transcript", times), (turns.withColumns({"assigned_speaker": F.col("who"), "status": F.lit("assigned")}), "attribution", [*times, "assigned_speaker", "status"]),
+        (turns.withColumns({"final_speaker": F.col("who"), "final_status": F.lit("not_confident")}), "attribution", [*times, "final_speaker", "final_status"]),
+    )
+    for i, (rows, field, columns) in enumerate(kinds):
+        documents.write_documents(documents.documents(rows.where(F.col("conv_id") % 3 == i), "segment_id", field, columns), f"{folder}/{i}")
+    source = documents.review_source(spark, f"{folder}/*/*/*")
+    of = lambda kind: source.where(F.col("kind") == kind).withColumn("text_pt", F.col("video_id"))
+    rows = [review.review_rows(of(kind), kind, kind) for kind in ("transcript", "assigned", "final")]
+    return reduce(DataFrame.unionByName, rows).select(F.col("text").alias("video_id"), "kind", "start", "speaker", "status")
+
+
+@query("SELECT o_orderkey, CASE WHEN s > 0 THEN round_even(s * 100, 0)::BIGINT ELSE 0 END AS n_audio, CASE WHEN s > 0 THEN round_even(s * 25, 0)::BIGINT ELSE 0 END AS n_video FROM (SELECT o_orderkey, least((o_custkey % 900 - (o_custkey % 900) % 4) / 100::DOUBLE, (o_orderkey % 220) / 25::DOUBLE) AS s FROM orders)")
+def trim_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Audio rows and frames that a track keeps, four to one."""
+    kept = media.trimmed_lengths(F.col("o_custkey") % 900, F.col("o_orderkey") % 220)
+    return table(spark, d, "orders").select("o_orderkey", kept.alias("k")).select("o_orderkey", "k.n_audio", "k.n_video")
 
 
 # decisions

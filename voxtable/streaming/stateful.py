@@ -12,6 +12,16 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from voxtable.operators.sequence import Tracker
 
 
+def written(stream: DataFrame, folder: str) -> DataFrame:
+    """Everything that the stream gives out until its input ends, written below folder and read back.
+
+    folder must be new, and one that all executors share: it holds the files and the query's checkpoint.
+    """
+    run = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(f"{folder}/rows")
+    run.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
 def windowed(stream: DataFrame, t: str, late: str, width: str, keys: list[str], slide: str | None = None, **aggregates) -> DataFrame:
     """Aggregates of tumbling (or sliding) windows, each given out once, when the watermark has passed it."""
     rows = stream.withWatermark(t, late).groupBy(F.window(t, width, slide), *keys).agg(*[c.alias(n) for n, c in aggregates.items()])
