@@ -141,3 +141,15 @@ def test_stateful_streams(spark, stream):
     plain = sequence.link_tracks(boxes(rows), ["user_id"], "ts", "event_id", detections=1)
     key = lambda df: sorted((r.user_id, r.ts, r.track_id) for r in df.select("user_id", "ts", "track_id").collect())
     assert key(tracked) == key(plain)
+
+
+def test_streamed_captions_merge_as_in_batch(spark, stream):
+    run, rows = stream
+    captions = lambda df: df.select("user_id", "ts", F.unix_seconds("ts").cast("double").alias("start_sec"), (F.unix_seconds("ts") + 3600).cast("double").alias("end_sec"), F.lit(0.0).alias("mid_sec"), F.concat(F.lit("line "), (F.col("value") / 40).cast("int").cast("string")).alias("text_pt"), (F.col("event_id") % 3).cast("double").alias("confidence"))
+    found = run(lambda s: stateful.merged_captions(captions(s), "user_id", "ts", "1 hour", 3600, gap=40_000.0, least=0.9), "captions")
+    batch = sequence.merge_near_duplicates(captions(rows), ["user_id"], gap=40_000.0, least=0.9)
+    columns = ["user_id", "start_sec", "end_sec", "mid_sec", "text_pt", "confidence"]
+    plain, got = (sorted(map(tuple, df.select(*columns).collect())) for df in (batch, found))
+    last = {u: max(x for x in plain if x[0] == u) for u in {x[0] for x in plain}}
+    closed = {x for x in plain if x != last[x[0]]}
+    assert closed <= set(got) <= set(plain) and len(got) == len(set(got)) and len(plain) < rows.count()

@@ -154,6 +154,15 @@ def by_first_seen(df: DataFrame, keys: list[str], group: str, seen: str, pos: st
     return firsts.withColumn(name, F.concat(F.lit(prefix), rank.cast("string"))).withColumn("first_seen", F.col("vx_first.t")).drop("vx_first")
 
 
+def merged_caption(last: dict | None, row: dict, similarity: Callable[[str, str], float], gap: float, least: float, start: str, end: str, mid: str, text: str, confidence: str) -> dict | None:
+    """The caption that `row` makes of the one before, if it continues it; else None."""
+    value = lambda x: 0.0 if x is None or pd.isna(x) else float(x)
+    if last is None or row[start] - last[end] > gap or similarity(last[text], row[text]) < least:
+        return None
+    winner = row if value(row.get(confidence)) >= value(last.get(confidence)) else last
+    return {**winner, start: last[start], end: row[end], mid: round((last[start] + row[end]) / 2, 2)}
+
+
 def merge_near_duplicates(
     df: DataFrame, keys: list[str], similarity: Callable[[str, str], float] = text_ratio, gap: float = 0.5, least: float = 0.7, start: str = "start_sec", end: str = "end_sec", mid: str = "mid_sec", text: str = "text_pt", confidence: str = "confidence"
 ) -> DataFrame:
@@ -167,14 +176,9 @@ def merge_near_duplicates(
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         out: list[dict] = []
-        value = lambda x: 0.0 if x is None or pd.isna(x) else float(x)
         for row in pdf.sort_values([start, end], kind="stable").to_dict("records"):
-            last = out[-1] if out else None
-            if last is not None and row[start] - last[end] <= gap and similarity(last[text], row[text]) >= least:
-                winner = row if value(row.get(confidence)) >= value(last.get(confidence)) else last
-                out[-1] = {**winner, start: last[start], end: row[end], mid: round((last[start] + row[end]) / 2, 2)}
-            else:
-                out.append(row)
+            both = merged_caption(out[-1] if out else None, row, similarity, gap, least, start, end, mid, text, confidence)
+            out[len(out) - (both is not None) :] = [both or row]
         return pd.DataFrame(out, columns=pdf.columns)
 
     return df.groupBy(*keys).applyInPandas(fold, fields)

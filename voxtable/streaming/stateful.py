@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from voxtable.operators.sequence import Tracker
+from voxtable.functions.python_udfs import text_ratio
+from voxtable.operators.sequence import Tracker, merged_caption
 
 
 def written(stream: DataFrame, folder: str) -> DataFrame:
@@ -97,3 +98,30 @@ def tracked(stream: DataFrame, key: str, t: str, box: str, least: float = 0.3, m
     return stream.groupBy(key).applyInPandasWithState(
         fold, f"`{key}` {kind[key]}, `{t}` {kind[t]}, track_id long", "next long, ids array<long>, boxes array<double>, missed array<long>", "append", GroupStateTimeout.NoTimeout
     )
+
+
+def merged_captions(stream: DataFrame, key: str, t: str, late: str = "1 minute", close: int = 60, similarity=text_ratio, gap: float = 0.5, least: float = 0.7) -> DataFrame:
+    """key, start_sec, end_sec, mid_sec, text_pt, confidence: captions merged as operators.sequence.merge_near_duplicates does.
+
+    stream has these columns and the event time t.  The state is the key's last caption.  It is given out when one
+    that doesn't continue it comes, or when the watermark has passed its time by `close` seconds.
+    """
+    fields = ("start_sec", "end_sec", "mid_sec", "text_pt", "confidence")
+    kind, kinds = dict(stream.dtypes)[key], "start_sec double, end_sec double, mid_sec double, text_pt string, confidence double"
+    names = dict(start="start_sec", end="end_sec", mid="mid_sec", text="text_pt", confidence="confidence")
+
+    def fold(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        now, done = dict(zip(fields, state.get, strict=True)) if state.exists else None, []
+        if state.hasTimedOut:
+            done, _ = [now], state.remove()
+        else:
+            rows = pd.concat(list(batches)).sort_values(["start_sec", "end_sec"], kind="stable")
+            for row in rows[list(fields)].to_dict("records"):
+                both = merged_caption(now, row, similarity, gap, least, **names)
+                done += [now] if now and not both else []
+                now = both or row
+            state.update(tuple(None if pd.isna(now[f]) else now[f] for f in fields))
+            state.setTimeoutTimestamp(max(int(rows[t].max().timestamp() * 1000) + close * 1000, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame([(keys[0], *(x[f] for f in fields)) for x in done], columns=[key, *fields])
+
+    return stream.withWatermark(t, late).groupBy(key).applyInPandasWithState(fold, f"`{key}` {kind}, {kinds}", kinds, "append", GroupStateTimeout.EventTimeTimeout)
