@@ -341,9 +341,27 @@ def merge_captions(spark: SparkSession, d: str) -> DataFrame:
     return sequence.merge_near_duplicates(rows, ["conv_id"])
 
 
-@query()
+_OVERLAP_OF = "(greatest(0, 20 - abs(c.x - w.todo[1].x)) * 20)::DOUBLE / (800 - greatest(0, 20 - abs(c.x - w.todo[1].x)) * 20)"
+
+
+@query(f"""WITH RECURSIVE {EV}, f AS (SELECT video_id, t, row_number() OVER (PARTITION BY video_id ORDER BY t) AS s, faces FROM (
+  SELECT user_id % 10 AS video_id, sec // 3600 AS t, list({{'p': event_id, 'x': floor(value)::BIGINT}} ORDER BY event_id) AS faces FROM ev GROUP BY ALL)),
+walk AS (SELECT DISTINCT video_id, 0::BIGINT AS s, []::STRUCT(id BIGINT, x BIGINT, last BIGINT)[] AS todo, []::STRUCT(id BIGINT, x BIGINT, last BIGINT)[] AS kept, []::STRUCT(p BIGINT, x BIGINT)[] AS free, 0::BIGINT AS next, []::STRUCT(p BIGINT, id BIGINT)[] AS hits FROM f
+UNION ALL SELECT w.video_id, CASE WHEN asks THEN w.s ELSE w.s + 1 END,
+  CASE WHEN asks THEN w.todo[2:] ELSE list_filter(list_concat(w.kept, list_transform(range(len(w.free)), lambda i: {{'id': w.next + i, 'x': w.free[i + 1].x, 'last': w.s}})), lambda k: k.last >= w.s - 2) END,
+  CASE WHEN asks THEN list_append(w.kept, {{'id': w.todo[1].id, 'x': CASE WHEN best IS NULL THEN w.todo[1].x ELSE w.free[best].x END, 'last': CASE WHEN best IS NULL THEN w.todo[1].last ELSE w.s END}}) ELSE [] END,
+  CASE WHEN NOT asks THEN f.faces WHEN best IS NULL THEN w.free ELSE list_concat(w.free[:best - 1], w.free[best + 1:]) END,
+  CASE WHEN asks THEN w.next ELSE w.next + len(w.free) END,
+  CASE WHEN NOT asks THEN [] WHEN best IS NULL THEN w.hits ELSE list_append(w.hits, {{'p': w.free[best].p, 'id': w.todo[1].id}}) END
+  FROM (SELECT *, len(todo) > 0 AS asks, CASE WHEN len(free) > 0 AND len(todo) > 0 AND list_max(scores) >= 0.3::DOUBLE THEN list_position(scores, list_max(scores)) END AS best
+    FROM (SELECT *, list_transform(w.free, lambda c: {_OVERLAP_OF}) AS scores FROM walk w)) w LEFT JOIN f ON NOT asks AND f.video_id = w.video_id AND f.s = w.s + 1 WHERE asks OR f.s IS NOT NULL),
+det AS (SELECT video_id, s, h.p AS p, h.id AS id FROM (SELECT video_id, s, unnest(list_concat(hits, list_transform(range(len(free)), lambda i: {{'p': free[i + 1].p, 'id': next + i}}))) AS h FROM walk WHERE len(todo) = 0)),
+tracks AS (SELECT video_id, id, max(s) AS last FROM det GROUP BY ALL HAVING count(*) >= 3),
+ends AS (SELECT video_id, max(s) AS m FROM f GROUP BY video_id),
+places AS (SELECT video_id, id, row_number() OVER (PARTITION BY video_id ORDER BY CASE WHEN last + 3 <= m THEN last + 3 ELSE m + 9 END, id) - 1 AS track_pos FROM tracks JOIN ends USING (video_id))
+SELECT video_id, t, p AS det_pos, id::INT AS track_id, track_pos::INT AS track_pos, (row_number() OVER (PARTITION BY video_id, id ORDER BY s) - 1)::INT AS nth FROM det JOIN places USING (video_id, id) JOIN f USING (video_id, s)""")
 def link_tracks(spark: SparkSession, d: str) -> DataFrame:
-    """Boxes linked into tracks; tests hold it against a plain tracker."""
+    """Boxes linked into tracks; of one height and width, so that the SQL needs their left ends only."""
     ev = events(spark, d)
     box = F.array(F.floor("value").cast("int"), (F.col("user_id") % 10 * 5).cast("int"), F.lit(20), F.lit(20))
     rows = ev.select((F.col("user_id") % 10).alias("video_id"), F.floor(F.col("sec") / 3600).alias("t"), F.col("event_id").alias("det_pos"), box.alias("box"))
@@ -656,9 +674,15 @@ def mean_vector(spark: SparkSession, d: str) -> DataFrame:
     return means.select("label", F.posexplode("embedding").alias("i", "x")).select("label", F.col("i").cast("long").alias("i"), F.round("x", 5).alias("x"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_VEC}, far AS (SELECT a.label AS video_id, a.vec_id AS i, b.vec_id AS j, greatest(0, 1 - list_dot_product(a.v, b.v)) AS d FROM vec a JOIN vec b ON a.label = b.label AND a.vec_id != b.vec_id),
+walk AS (SELECT 0 AS n, label AS video_id, vec_id AS item, vec_id AS c FROM vec
+UNION ALL SELECT n + 1, video_id, item, CASE WHEN c = hi THEN lo ELSE c END FROM walk JOIN (
+  SELECT * FROM (SELECT a.video_id, a.c AS lo, b.c AS hi, avg(d) AS m FROM walk a JOIN walk b ON a.video_id = b.video_id AND a.c < b.c JOIN far ON far.video_id = a.video_id AND far.i = a.item AND far.j = b.item GROUP BY a.video_id, a.c, b.c)
+  QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY m, lo, hi) = 1 AND m <= 0.9) USING (video_id)),
+done AS (SELECT * FROM (SELECT *, max(n) OVER (PARTITION BY video_id) AS m FROM walk) WHERE n = m)
+SELECT video_id, item AS track_key, c AS cluster, 'person_' || (dense_rank() OVER (PARTITION BY video_id ORDER BY c) - 1) AS identity FROM done""")
 def identities(spark: SparkSession, d: str) -> DataFrame:
-    """Average-linkage clusters, named by first appearance; tests hold it against a plain clustering."""
+    """Average-linkage clusters, named by first appearance; the SQL merges the two nearest clusters again and again."""
     v = _vectors(spark, d).select(F.col("label").alias("video_id"), F.col("vec_id").alias("track_key"), "embedding", F.col("vec_id").alias("first_seen"), F.col("vec_id").alias("pos"))
     return plans.identities(v, Config(cluster_distance=0.9)).select("video_id", "track_key", "cluster", "identity")
 
