@@ -745,6 +745,59 @@ def test_near_copies_of_one_text_are_one_group(spark):
     assert near_copies.candidate_links(near_copies.fingerprints(df).select("vx_fp", "vx_more").distinct()).count() < 2 * 68 * len(docs)
 
 
+def copies_in_pairs(copies, pairs, changes=10):
+    """One text, copies of it, and pairs of copies that are alike to each other but mostly not to the text."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+
+    def changed(text, n):
+        out = list(text)
+        for at in rng.sample(range(len(out)), n):
+            out[at] = word()
+        return out
+
+    text = [word() for _ in range(300)]
+    rows = [text] + [changed(text, 6) for _ in range(copies)]
+    for _ in range(pairs):
+        one = changed(text, changes)
+        rows += [one, changed(one, 2)]
+    rng.shuffle(rows)
+    return [(i, " ".join(x)) for i, x in enumerate(rows)]
+
+
+def test_near_copies_keep_links_beside_the_hub(spark):
+    """Where very many lie together, pairs that the hub isn't alike to are found too: the groups are those of brute force."""
+    docs = copies_in_pairs(500, 60)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    near = near_copies.candidate_links(near_copies.fingerprints(df).select("vx_fp", "vx_more").distinct())
+    assert near.where("dense").count() > len(docs)
+    assert by_id(near_copies.deduplicated(df).collect()) == plain_copies(docs)
+
+
+@pytest.mark.parametrize("block", [1 << 20, 30_000])
+def test_remaining_links_in_blocks(spark, block):
+    from voxtable.llm.components import components
+
+    docs = copies_in_pairs(60, 40)
+    texts = spark.createDataFrame(docs, "node long, text string")
+    dense = spark.createDataFrame([(i, 0) for i in range(1, len(docs))], "hi long, lo long")
+    sets = [near_copies.shingles(t) for _, t in docs]
+    alike = [(i, j) for i in range(len(docs)) for j in range(i) if near_copies.similarity(sets[i], sets[j]) >= 0.8]
+    for good in ([], alike[::9]):
+        good = spark.createDataFrame(good, "hi long, lo long")
+        found = near_copies.remaining_links(dense, good, texts, 5, 0.8, block)
+        assert {tuple(r) for r in found.collect()} <= set(alike)
+        roots = {r.node: r.root for r in components(good.unionByName(found)).collect()}
+        assert sorted({roots.get(i, i) for i in range(len(docs))}) == plain_copies(docs)
+
+
+def test_stars_connect_what_all_links_connect():
+    bits = lambda *own: np.packbits(np.isin(np.arange(128), own)).view(np.uint64)
+    fps = np.stack([bits(*range(40)), bits(*range(10)), *(bits(100 + i) for i in range(12))])  # the first is far from the hub, but not from the second
+    found = {frozenset(x[:2]) for x in near_copies._dense(fps)}
+    assert frozenset((0, 1)) in found and set().union(*found) == set(range(len(fps)))
+
+
 def test_components_of_a_long_path(spark):
     from voxtable.llm.components import components
 
