@@ -2,6 +2,7 @@
 
 import random
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pytest
@@ -209,6 +210,26 @@ def test_compare(spark):
     assert aggregates.confident_percent(found.limit(0), "outcome", ("agree",)).first().percent is None
 
 
+def test_pairs_by_blocks(spark):
+    rng = np.random.default_rng(6)
+    v = [[float(x) for x in rng.normal(size=3).astype(np.float32)] for _ in range(23)]
+    v[3], v[7], v[9] = None, [1.0, None, 2.0], [1.0, 2.0]
+    data = [("g", i, x) for i, x in enumerate(v)] + [("h", 1, v[0]), ("h", 1, v[1]), ("h", 2, v[2]), (None, 1, v[0]), (None, 2, v[0])]
+    df = spark.createDataFrame(data, "k string, i long, v array<double>")
+    product = lambda x, y: reduce(lambda s, pq: s + pq[0] * pq[1], zip(x, y, strict=True), 0.0) if x and y and len(x) == len(y) and None not in x + y else None
+    plain = {(g, i, j): product(x, y) for g, i, x in data for h, j, y in data if g == h == "g" and i != j}
+    for block in (1, 4, 100):
+        found = cluster.pairwise(df.where("k = 'g'"), ["k"], "i", "v", True, block=block)
+        assert {(r.k, r.a, r.b): r.similarity for r in found.collect()} == plain and found.count() == len(plain)
+        half = cluster.pairwise(df, ["k"], "i", "v", block=block)
+        assert {(r.k, r.a, r.b): r.similarity for r in half.where("k = 'g'").collect()} == {k: x for k, x in plain.items() if k[1] < k[2]}
+        assert rows(half.where("k != 'g' or k is null"), "k", "a", "b") == [("h", 1, 2), ("h", 1, 2)]
+    near = cluster.pairwise(df.where("i < 9"), ["k"], "i", "v", places=2).where("similarity is not null").first()
+    assert near.similarity == round(plain[near.k, near.a, near.b], 2) and near.distance == round(max(0, 1 - plain[near.k, near.a, near.b]), 2)
+    # no row is made for a pair before its product is known
+    assert "Join" not in half._jdf.queryExecution().executedPlan().toString()
+
+
 def plain_average_linkage(s, cut):
     groups = [[i] for i in range(len(s))]
     while len(groups) > 1:
