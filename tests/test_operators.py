@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxtable.config import Config
+from voxtable.functions.python_udfs import byte_edits
 from voxtable.operators import aggregates, attribution, cluster, corrections, filters, intervals, review, sequence, signals
 from voxtable.plans import attribution as plans
 
@@ -253,6 +254,21 @@ def test_average_linkage():
     assert len(set(cluster.average_linkage(chain, 0.5))) == 2  # single linkage would make one
 
 
+def test_byte_edits():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, before = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(row[-1] + 1, before[j] + 1, before[j - 1] + (x != y)))
+        return row[-1]
+
+    rng = random.Random(8)
+    for n in range(300):
+        a, b = ("".join(rng.choices("abç–" if n % 2 else "a😀", k=rng.randrange(1 + n // 4))).encode() for _ in range(2))
+        assert byte_edits(a, b) == byte_edits(b, a) == plain(a, b)
+
+
 def test_linkage_without_the_matrix():
     rng = np.random.default_rng(5)
     parts = lambda label: sorted(sorted(np.flatnonzero(label == k).tolist()) for k in set(label))

@@ -15,6 +15,25 @@ def text_ratio(a: str | None, b: str | None) -> float:
     return difflib.SequenceMatcher(None, a or "", b or "").ratio()
 
 
+def byte_edits(a: bytes, b: bytes) -> int:
+    """Levenshtein distance, by columns whose steps up and down are the bits of two long integers."""
+    if len(a) < len(b):
+        a, b = b, a
+    if not b:
+        return len(a)
+    n = len(a)
+    full, places = (1 << n) - 1, {c: int.from_bytes(np.packbits(np.frombuffer(a, np.uint8) == c, bitorder="little").tobytes(), "little") for c in set(a) & set(b)}
+    up, down, edits, last = full, 0, n, n - 1
+    for c in b:
+        same = places.get(c, 0)
+        flat = (((same & up) + up) ^ up) | same | down  # where the diagonal does not rise
+        rise, fall = down | (full & ~(flat | up)), flat & up
+        edits += (rise >> last) - (fall >> last)
+        rise, fall = rise << 1 | 1, fall << 1
+        up, down = (fall | ~((flat & full) | rise)) & full, rise & flat & full
+    return edits
+
+
 def text_similarity(previous: Column, current: Column) -> Column:
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
