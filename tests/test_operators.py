@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from voxtable.config import Config
@@ -254,6 +255,31 @@ def test_average_linkage():
     assert len(set(cluster.average_linkage(chain, 0.5))) == 2  # single linkage would make one
 
 
+def test_folds_hold_whole_groups(spark):
+    """Parts of a union that lie by the keys are dealt again, whatever partitions adaptive execution has joined."""
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.parallelismFirst", "spark.sql.autoBroadcastJoinThreshold")}
+    for k, x in zip(old, ("24", "20k", "false", "-1"), strict=True):
+        spark.conf.set(k, x)
+    try:
+        one = spark.range(3000).select((F.col("id") % 300).alias("k"), F.lit(1).alias("x")).groupBy("k").agg(F.min("x").alias("x"))
+        many = spark.range(30_000).select((F.col("id") % 300).alias("k"), (F.col("id") + 2).cast("int").alias("x"))
+        many = many.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("x"))).where("n > 0").select("k", "x")
+
+        def step(state, x):
+            state[0] += 1
+            return state[0]
+
+        counted = sequence.folded(one.unionByName(many), ["k"], ["x"], ["x"], lambda: [0], step, "n")
+        assert {r.n for r in counted.groupBy("k").agg(F.max("n").alias("n")).collect()} == {101}
+        frames = [(v, i, 40.0 if i in (3, 9, 12, 20) else 0.0) for v in (*range(40), None) for i in range(24)]
+        df = spark.createDataFrame(frames, "v int, frame int, score double")
+        cut = sequence.shot_cuts(df, ["v"], "frame", "score").groupBy("v", "shot_id").agg(F.min("frame").alias("a")).collect()
+        assert sorted((r.v is None, r.v or 0, r.shot_id, r.a) for r in cut) == [(v is None, v or 0, i, a) for v in (*range(40), None) for i, a in enumerate((0, 9, 20))]
+    finally:
+        for k, x in old.items():
+            spark.conf.unset(k) if x is None else spark.conf.set(k, x)
+
+
 def test_byte_edits():
     def plain(a, b):
         row = list(range(len(b) + 1))

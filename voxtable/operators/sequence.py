@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,9 @@ def folded(df: DataFrame, keys: list[str], order: list[str], values: list[str],
                 out.append(step(state, *row[n:]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64() if kind == "double" else pa.int64())], names=names)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(batches, f"{fields}, `{name}` {kind}")
+    # by the keys and a constant: a union of parts that lie by the keys counts as dealt by them, and is left so, though
+    # adaptive execution joins each part's partitions in its own way
+    return df.repartition(*keys, F.lit(0)).sortWithinPartitions(*keys, *order).mapInArrow(batches, f"{fields}, `{name}` {kind}")
 
 
 def anchored_sessions(df: DataFrame, keys: list[str], order: list[str], same: Callable[[object, object], bool], value: str, present: str, name: str = "session") -> DataFrame:
@@ -82,8 +85,8 @@ def shot_cuts(df: DataFrame, keys: list[str], frame: str, score: str, threshold:
     The score of a frame is its change against the frame before.  Frames are numbered without holes; whether
     a cut counts depends on the last one that did, so the fold runs over the few frames with a high score.
     """
-    first = df.groupBy(*keys).agg(F.min(frame).cast("long").alias("vx_at")).withColumn("vx_first", F.lit(True))
-    high = df.where(F.col(score) > threshold).select(*keys, F.col(frame).cast("long").alias("vx_at"), F.lit(False).alias("vx_first"))
+    at, first = F.col(frame).cast("long"), F.min(frame).over(Window.partitionBy(*keys))
+    few = df.select(*keys, at.alias("vx_at"), (at == first).alias("vx_first"), F.col(score).alias("vx_score")).where(F.col("vx_first") | (F.col("vx_score") > threshold)).drop("vx_score")
 
     def step(state: list, at: int, opens: bool) -> int | None:
         if opens or at - state[1] >= least:
@@ -91,11 +94,11 @@ def shot_cuts(df: DataFrame, keys: list[str], frame: str, score: str, threshold:
             return state[0]
         return None
 
-    # the first frame comes before a high score of the same frame, which is then too near to it
-    cuts = folded(first.unionByName(high), keys, ["vx_at", F.desc("vx_first")], ["vx_at", "vx_first"], lambda: [-1, 0], step, "vx_shot").where("vx_shot is not null")
-    opened = cuts.select(*keys, F.col("vx_at").alias(frame), F.col("vx_shot").cast("int").alias(name))
+    cuts = folded(few, keys, ["vx_at"], ["vx_at", "vx_first"], lambda: [-1, 0], step, "vx_shot").where("vx_shot is not null")
+    opened = cuts.select(*(F.col(k).alias(f"vx_{i}") for i, k in enumerate(keys)), "vx_at", F.col("vx_shot").cast("int").alias(name))
     w = Window.partitionBy(*keys).orderBy(frame)
-    marked = df.join(opened, [*keys, frame], "left")
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"vx_{i}")) for i, k in enumerate(keys)], at == F.col("vx_at"))
+    marked = df.join(opened, same, "left").drop("vx_at", *(f"vx_{i}" for i in range(len(keys))))
     return marked.withColumn(name, F.last(name, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
